@@ -1,78 +1,91 @@
-"""The whole warehouse as one graph of lazy DataFrames, or as written tables when a store is given."""
+"""The warehouse as a graph of named tables, each a function of the ones it reads."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 from datetime import date
 
 from pyspark.sql import DataFrame
 
 from stayline.operators import dims, facts, features, staging
 
+Store = Callable[[str, str, DataFrame], DataFrame]
+
 STAGING = {
-    "stg_customers": ("raw_users", staging.stg_customers),
-    "stg_subscription_events": ("raw_subscription_events", staging.stg_subscription_events),
-    "stg_support_tickets": ("raw_support_tickets", staging.stg_support_tickets),
-    "stg_watch_events": ("raw_watch_events", staging.stg_watch_events),
-    "stg_user_ratings": ("raw_user_ratings", staging.stg_user_ratings),
-    "stg_user_watchlist": ("raw_user_watchlist", staging.stg_user_watchlist),
-    "stg_content_catalog": ("raw_content_catalog", staging.stg_content_catalog),
+    "stg_customers": lambda w: staging.stg_customers(w["raw_users"]),
+    "stg_subscription_events": lambda w: staging.stg_subscription_events(w["raw_subscription_events"]),
+    "stg_support_tickets": lambda w: staging.stg_support_tickets(w["raw_support_tickets"]),
+    "stg_watch_events": lambda w: staging.stg_watch_events(w["raw_watch_events"]),
+    "stg_user_ratings": lambda w: staging.stg_user_ratings(w["raw_user_ratings"]),
+    "stg_user_watchlist": lambda w: staging.stg_user_watchlist(w["raw_user_watchlist"]),
+    "stg_content_catalog": lambda w: staging.stg_content_catalog(w["raw_content_catalog"]),
 }
-# Staging models stay views; the deduplicated catalogue and all marts are tables.
-STORED_STAGING = ("stg_content_catalog",)
-
-Store = Callable[[str, str, DataFrame], DataFrame]
+MARTS = {
+    "dim_customer": lambda w: dims.dim_customer(w["stg_customers"]),
+    "dim_content": lambda w: dims.dim_content(w["stg_content_catalog"], w.as_of),
+    "dim_date": lambda w: dims.dim_date(w.spark, week=w.week),
+    "fct_watch_event": lambda w: facts.fct_watch_event(
+        w["stg_watch_events"], w["dim_customer"], w["dim_content"], completion_scale=w.completion_scale
+    ),
+    "fct_support_interaction": lambda w: facts.fct_support_interaction(w["stg_support_tickets"], w["dim_customer"]),
+    "fct_daily_user_activity": lambda w: facts.fct_daily_user_activity(
+        w["stg_watch_events"], w["stg_user_ratings"], w["stg_user_watchlist"], w["dim_customer"]
+    ),
+    "fct_subscription_event": lambda w: facts.fct_subscription_event(
+        w["stg_subscription_events"], w["dim_customer"], w["dim_date"]
+    ),
+    "ml_churn_feature_store": lambda w: features.feature_table(
+        w["dim_customer"],
+        w["fct_watch_event"],
+        w["fct_subscription_event"],
+        w["fct_support_interaction"],
+        w["stg_user_ratings"],
+        w["stg_user_watchlist"],
+        w.as_of,
+    ),
+}
+# Staging models stay views, but the deduplicated catalogue is worth storing.
+STORED = {"stg_content_catalog": "staging"} | {name: "marts" for name in MARTS}
 
 
-def build(
-    raw: dict[str, DataFrame], as_of: date, store: Store | None = None, week: str = "iso", completion_scale: int = 1
-) -> dict[str, DataFrame]:
-    """All tables by name. ``store(layer, name, df)`` writes a table and returns it read back.
+class Warehouse(Mapping):
+    """Tables by name, each built on first use from the raw tables.
 
-    With a store each mart is computed once and later steps read its files, so a lost executor never replays the
-    graph. Without one the result is fully lazy and only what an action touches is computed.
+    Without a ``store`` everything is lazy and only what an action touches is computed. With one, each stored table is
+    written once and read back, so later steps scan pruned columns of its files and a lost executor never replays the
+    graph.
     """
-    keep: Store = store or (lambda layer, name, df: df)
-    spark = raw["raw_users"].sparkSession
-    t: dict[str, DataFrame] = {}
-    for name, (source, model) in STAGING.items():
-        t[name] = model(raw[source])
-    for name in STORED_STAGING:
-        t[name] = keep("staging", name, t[name])
 
-    def mart(name: str, df: DataFrame) -> None:
-        t[name] = keep("marts", name, df)
+    def __init__(
+        self,
+        raw: Mapping[str, DataFrame],
+        as_of: date,
+        store: Store | None = None,
+        week: str = "iso",
+        completion_scale: int = 1,
+    ):
+        self.as_of, self.week, self.completion_scale = as_of, week, completion_scale
+        self.spark = raw["raw_users"].sparkSession
+        self._store = store
+        self._models = STAGING | MARTS
+        self._tables: dict[str, DataFrame] = dict(raw)
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._tables:
+            table = self._models[name](self)
+            if self._store and name in STORED:
+                table = self._store(STORED[name], name, table)
+            self._tables[name] = table
+        return self._tables[name]
+
+    def __iter__(self):
+        return iter(dict.fromkeys([*self._tables, *self._models]))
+
+    def __len__(self) -> int:
+        return len(set(self._tables) | set(self._models))
+
 
-    mart("dim_customer", dims.dim_customer(t["stg_customers"]))
-    mart("dim_content", dims.dim_content(t["stg_content_catalog"], as_of))
-    mart("dim_date", dims.dim_date(spark, week=week))
-    mart(
-        "fct_watch_event",
-        facts.fct_watch_event(
-            t["stg_watch_events"], t["dim_customer"], t["dim_content"], completion_scale=completion_scale
-        ),
-    )
-    mart("fct_support_interaction", facts.fct_support_interaction(t["stg_support_tickets"], t["dim_customer"]))
-    mart(
-        "fct_daily_user_activity",
-        facts.fct_daily_user_activity(
-            t["stg_watch_events"], t["stg_user_ratings"], t["stg_user_watchlist"], t["dim_customer"]
-        ),
-    )
-    mart(
-        "fct_subscription_event",
-        facts.fct_subscription_event(t["stg_subscription_events"], t["dim_customer"], t["dim_date"]),
-    )
-    mart(
-        "ml_churn_feature_store",
-        features.feature_table(
-            t["dim_customer"],
-            t["fct_watch_event"],
-            t["fct_subscription_event"],
-            t["fct_support_interaction"],
-            t["stg_user_ratings"],
-            t["stg_user_watchlist"],
-            as_of,
-        ),
-    )
-    return t
+def run(raw: Mapping[str, DataFrame], as_of: date, store: Store | None = None, **options) -> dict[str, DataFrame]:
+    """Every table, in dependency order; with a ``store`` this is the daily full rebuild."""
+    warehouse = Warehouse(raw, as_of, store, **options)
+    return {name: warehouse[name] for name in warehouse}
