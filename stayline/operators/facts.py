@@ -150,8 +150,9 @@ def fct_subscription_event(events: DataFrame, customers: DataFrame, dates: DataF
     follows an equal row, so its previous values are its own.
     """
     fields = events.columns
+    calendar = F.broadcast(dates.select(F.col("date_day").alias("event_date")))  # one row per day of a few years
     distinct = (
-        events.join(dates.select(F.col("date_day").alias("event_date")), "event_date", "left_semi")
+        events.join(calendar, "event_date", "left_semi")
         .groupBy(*fields)
         .agg(F.count("*").alias("_copies"))
         .join(customers.select("customer_id", "customer_key"), "customer_id")

@@ -203,9 +203,14 @@ def support_features(fct_support_interaction: DataFrame, as_of: date) -> DataFra
     )
 
 
+def _by_key(events: DataFrame) -> DataFrame:
+    """Events that carry the customer id, under the key it hashes to: no lookup is needed to group them."""
+    return events.withColumn("customer_key", surrogate_key("customer_id"))
+
+
 def _rating_aggregates(ratings: DataFrame) -> DataFrame:
     stars = F.col("rating")
-    return ratings.groupBy("customer_id").agg(
+    return _by_key(ratings).groupBy("customer_key").agg(
         F.count("*").alias("total_ratings"),
         mean2("rating").alias("avg_rating_given"),
         F.min("rating").alias("min_rating_given"),
@@ -215,7 +220,7 @@ def _rating_aggregates(ratings: DataFrame) -> DataFrame:
 
 
 def _watchlist_aggregates(watchlist: DataFrame) -> DataFrame:
-    return watchlist.groupBy("customer_id").agg(
+    return _by_key(watchlist).groupBy("customer_key").agg(
         F.count("*").alias("total_watchlist_items"),
         count_where(F.col("is_watched")).alias("watchlist_watched_count"),
         share_of_rows(F.col("is_watched")).alias("watchlist_conversion_rate"),
@@ -223,11 +228,11 @@ def _watchlist_aggregates(watchlist: DataFrame) -> DataFrame:
 
 
 def _of_known_customers(aggregates: DataFrame, customers: DataFrame) -> DataFrame:
-    return customers.select("customer_key", "customer_id").join(aggregates, "customer_id").drop("customer_id")
+    return aggregates.join(customers.select("customer_key"), "customer_key", "left_semi")
 
 
 def rating_features(ratings: DataFrame, customers: DataFrame) -> DataFrame:
-    """Aggregated before the customer lookup, so the lookup sees one row per customer."""
+    """Aggregated before unknown customers are dropped, so that join sees one row per customer."""
     return _of_known_customers(_rating_aggregates(ratings), customers)
 
 
@@ -246,19 +251,15 @@ def feature_table(
 ) -> DataFrame:
     """One row per customer: key, target and the 55 features at ``as_of``.
 
-    The aggregates leave their shuffle partitioned by customer key, which is what the left joins need. Ratings and
-    watchlist are keyed by the customer id; hashing it yields the key, so they need no customer lookup of their own.
+    The aggregates leave their shuffle partitioned by customer key, which is what the left joins need, so each input
+    is shuffled once. Ratings and watchlist rows of unknown customers find no partner and drop out by themselves.
     """
-
-    def keyed(aggregates: DataFrame) -> DataFrame:
-        return aggregates.withColumn("customer_key", surrogate_key("customer_id")).drop("customer_id")
-
     domains = [
         watch_features(fct_watch_event, as_of),
         subscription_features(fct_subscription_event),
         support_features(fct_support_interaction, as_of),
-        keyed(_rating_aggregates(ratings)),
-        keyed(_watchlist_aggregates(watchlist)),
+        _rating_aggregates(ratings),
+        _watchlist_aggregates(watchlist),
     ]
     joined = reduce(
         lambda left, right: left.join(right, "customer_key", "left"), domains, customer_features(customers, as_of)

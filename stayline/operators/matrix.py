@@ -55,7 +55,7 @@ def stratified_split(
     cuts = hash_cuts(df, key, label, [fraction], seed).select(label, "cut_hash")
     is_test = seeded_hash(key, seed) <= F.col("cut_hash")
     return (
-        df.join(cuts, label, "left")
+        df.join(F.broadcast(cuts), label, "left")  # one row per label
         .withColumn("split", F.when(is_test, "test").otherwise("train"))
         .select(*df.columns, "split")
     )
@@ -72,7 +72,7 @@ def stratified_folds(
         .agg(F.collect_list("cut_hash").alias("cuts"))  # k - 1 entries
     )
     fold = F.size(F.filter("cuts", lambda cut: cut < seeded_hash(key, seed)))
-    return df.join(cuts, label, "left").withColumn("fold", fold).select(*df.columns, "fold")
+    return df.join(F.broadcast(cuts), label, "left").withColumn("fold", fold).select(*df.columns, "fold")
 
 
 def class_weight(df: DataFrame, label: str = LABEL) -> DataFrame:

@@ -25,19 +25,20 @@ def seeded_hash(key: str | Column, seed: int = HASH_SEED) -> Column:
 
 
 def hash_cuts(
-    df: DataFrame, key: str, group: str, fractions: Sequence[Decimal], seed: int = HASH_SEED, digits: int = 3
+    df: DataFrame, key: str, label: str, fractions: Sequence[Decimal], seed: int = HASH_SEED, digits: int = 3
 ) -> DataFrame:
-    """Per group, the hashes below which exactly ceil(fraction * rows) of its keys lie: (group, cut_no, cut_hash).
+    """Per class label, the hash at or below which exactly ceil(fraction * rows) of its keys lie.
 
-    Rows are counted per hash prefix; only the prefix holding a cut (one in 16**digits of the group) is ranked.
+    Yields one row (label, cut_no, cut_hash) per label and fraction. Rows are counted per hash prefix; only the prefix
+    holding a cut (one in 16**digits of the class) is ranked.
     """
-    hashed = df.select(F.col(group), seeded_hash(key, seed).alias("h")).withColumn("prefix", F.substring("h", 1, digits))
-    in_order = Window.partitionBy(group).orderBy("prefix")
+    hashed = df.select(F.col(label), seeded_hash(key, seed).alias("h")).withColumn("prefix", F.substring("h", 1, digits))
+    in_order = Window.partitionBy(label).orderBy("prefix")
     counted = (
-        hashed.groupBy(group, "prefix")
+        hashed.groupBy(label, "prefix")
         .agg(F.count("*").alias("n"))
         .withColumn("upto", F.sum("n").over(in_order))
-        .withColumn("total", F.sum("n").over(Window.partitionBy(group)))
+        .withColumn("total", F.sum("n").over(Window.partitionBy(label)))
     )
     targets = F.array(
         *[
@@ -46,21 +47,24 @@ def hash_cuts(
         ]
     )
     wanted = (
-        counted.select(group, "prefix", "n", "upto", F.inline(targets))
+        counted.select(label, "prefix", "n", "upto", F.inline(targets))
         .where("target <= upto and target > upto - n")
-        .select(group, "prefix", "cut_no", (F.col("target") - F.col("upto") + F.col("n")).alias("place"))
+        .select(label, "prefix", "cut_no", (F.col("target") - F.col("upto") + F.col("n")).alias("place"))
     )
-    in_prefix = Window.partitionBy(group, "prefix", "cut_no").orderBy("h")
+    # Rows sharing a hash are counted before they are ranked: copies of one key never pile up in a window.
+    in_prefix = Window.partitionBy(label, "prefix", "cut_no").orderBy("h")
     return (
-        hashed.join(wanted, [group, "prefix"])
-        .withColumn("rank", F.row_number().over(in_prefix))
-        .where("rank = place")
-        .select(group, "cut_no", F.col("h").alias("cut_hash"))
+        hashed.join(F.broadcast(wanted), [label, "prefix"])  # one row per label and fraction
+        .groupBy(label, "prefix", "cut_no", "place", "h")
+        .agg(F.count("*").alias("n"))
+        .withColumn("upto", F.sum("n").over(in_prefix))
+        .where("place <= upto and place > upto - n")
+        .select(label, "cut_no", F.col("h").alias("cut_hash"))
     )
 
 
 def numbered(df: DataFrame, group: str, hash_column: str, number: str, digits: int = 3) -> DataFrame:
-    """Number each group's rows 1..n in the order of a uniform hex hash column."""
+    """Number each group's rows 1..n in the order of a uniform hex hash column, different for every row of a group."""
     prefixed = df.withColumn("_prefix", F.substring(hash_column, 1, digits))
     before = (
         prefixed.groupBy(group, "_prefix")
@@ -83,7 +87,7 @@ def numbered(df: DataFrame, group: str, hash_column: str, number: str, digits: i
 def running_totals(df: DataFrame, order: str, values: Sequence[str], buckets: int = 256) -> DataFrame:
     """Add ``upto_<value>``: the sum of the value over all rows up to and including this one, by distinct ``order``.
 
-    Eager: the input is checkpointed, so it is computed once, and its quantiles (at most ``buckets`` numbers) cut the
+    Eager: the input is written out, so it is computed once, and its quantiles (at most ``buckets`` numbers) cut the
     order into buckets of similar size.
     """
     fixed = cut_lineage(df)

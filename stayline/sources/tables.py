@@ -28,7 +28,10 @@ _CSV = {
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """A header CSV with a declared schema: no inference pass, and a malformed value fails the job."""
+    """A header CSV with a declared schema: no inference pass, and a malformed value fails the job.
+
+    An empty field is NULL, as the tools that write these files mean it; text cannot be empty.
+    """
     return spark.read.options(**_CSV, mode="FAILFAST").schema(schema).csv(path)
 
 
@@ -99,6 +102,11 @@ def refresh_table(df: DataFrame, table: str) -> DataFrame:
     return spark.table(table)
 
 
+def read_table(spark: SparkSession, table: str) -> DataFrame:
+    """A stored table, such as the feature table for training."""
+    return spark.table(table)
+
+
 def refresh_catalog(catalog: DataFrame, table: str) -> DataFrame:
     """Full refresh of the raw catalogue, in its declared column order."""
     return refresh_table(catalog.select(*CATALOG_SCHEMA.names), table)
