@@ -166,7 +166,8 @@ def fct_subscription_event(events: DataFrame, customers: DataFrame, dates: DataF
         F.col("monthly_revenue").asc_nulls_first(),
         F.col("cancellation_reason").asc_nulls_first(),
     )
-    chained = distinct.select(
+    # The filter drops nothing. It keeps the count in this branch, so both branches read one and the same exchange.
+    chained = distinct.where("_copies >= 1").select(
         "*",
         F.lag("plan_type").over(timeline).alias("previous_plan_type"),
         F.lag("monthly_revenue").over(timeline).alias("previous_monthly_revenue"),

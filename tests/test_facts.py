@@ -189,6 +189,14 @@ def test_lag_with_copies_equals_the_row_by_row_walk(spark, monkeypatch):
     assert Counter(tuple(row) for row in got) == expected
 
 
+def test_subscription_events_are_collapsed_once_for_both_branches(spark):
+    events = spark.createDataFrame([sub("c1", "subscribe", "2023-02-01")] * 2, SUBSCRIPTION)
+    out = facts.fct_subscription_event(events, customers(spark, "c1"), dims.dim_date(spark))
+    assert len(out.collect()) == 2
+    final = plan(out).split("Final Plan")[1].split("Initial Plan")[0]
+    assert final.count("partial_count(1)") == 1
+
+
 def test_revenue_category_of_an_unknown_event(spark):
     events = spark.createDataFrame([sub("c1", "pause", "2023-02-01")], SUBSCRIPTION)
     out = facts.fct_subscription_event(events, customers(spark, "c1"), dims.dim_date(spark))
