@@ -10,6 +10,7 @@ from stayline.functions.keys import surrogate_key
 from stayline.operators import features
 from stayline.plans.warehouse import Warehouse
 from stayline.sources.samples import raw_tables
+from stayline.sources.tables import parquet_store
 
 FACT = (
     "customer_key string, content_key string, date_day date, session_id string, device_type string, "
@@ -158,11 +159,22 @@ def test_one_row_per_customer_and_stable_when_run_twice(spark):
     assert sorted(first) == sorted(second)
 
 
-def test_each_input_is_shuffled_once_for_the_assembly(spark, conf):
-    """Without broadcasts the six sides are joined on their grouping key, with no exchange above an aggregate."""
+def test_the_assembly_joins_on_the_grouping_key(spark, conf):
+    """Without broadcasts the sides are joined on the key they were grouped by, with no exchange above an aggregate."""
     conf(spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__enabled="false")
     physical = plan(table(spark)).split("== Physical Plan ==")[1]
-    assert physical.count("SortMergeJoin") == 5
-    assert len(re.findall(r"Exchange hashpartitioning\(customer_key#\d+, \d+\)", physical)) == 6
-    # the seventh exchange spreads the exact distinct counts by value before they are gathered by customer
-    assert physical.count("Exchange") == 7
+    assert physical.count("SortMergeJoin") == 6
+    assert len(re.findall(r"Exchange hashpartitioning\(customer_key#\d+, \d+\)", physical)) == 7
+    # the eighth exchange spreads the exact distinct counts by value before they are gathered by customer
+    assert physical.count("Exchange") == 8
+
+
+def test_the_stored_fact_is_read_by_column(spark, tmp_path):
+    """Measures and distinct counts share two columns of the fact and leave its ids alone."""
+    store = parquet_store(str(tmp_path))
+    fact = Warehouse(raw_tables(spark, "/root/testdata/sf0.001"), AS_OF, store)["fct_watch_event"]
+    physical = plan(features.watch_features(fact, AS_OF)).split("== Physical Plan ==")[1]
+    scans = [set(re.findall(r"(\w+):", text)) for text in re.findall(r"ReadSchema: struct<([^>]*)>", physical)]
+    assert len(scans) == 2
+    assert set.union(*scans) & {"watch_event_key", "watch_event_id", "watch_start_time"} == set()
+    assert set.intersection(*scans) == {"customer_key", "date_day"}

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from stayline.operators import features, matrix, model
+from stayline.sources import tables
 
 SMALL = {"maxIter": 3, "maxDepth": 2}
 
@@ -32,7 +33,7 @@ def test_production_settings():
     assert (model.GBT_PARAMS["maxDepth"], model.GBT_PARAMS["stepSize"], model.GBT_PARAMS["seed"]) == (4, 0.05, 42)
 
 
-def test_training_run(spark, feature_table):
+def test_training_run(spark, feature_table, tmp_path):
     run = model.train(feature_table, cv_folds=2, **SMALL)
     metrics = {row.metric: row.value for row in run.metrics.collect()}
     assert set(metrics) == {
@@ -45,6 +46,11 @@ def test_training_run(spark, feature_table):
     ranking = model.importance_ranking(spark, run.model).collect()
     assert len(ranking) == 15
     assert ranking[0].feature == "days_since_last_watch"
+    tables.write_csv(model.importance_ranking(spark, run.model, top=None), str(tmp_path / "importance"), single_header_file=True)
+    files = list((tmp_path / "importance").glob("*.csv"))
+    assert len(files) == 1
+    lines = files[0].read_text().splitlines()
+    assert (lines[0], len(lines)) == ("feature,importance", 56)
     scored = model.score_customers(run.model, feature_table)
     assert scored.count() == 300
     assert {"customer_id", "score", "predicted", "risk_tier"} <= set(scored.columns)
