@@ -169,8 +169,9 @@ def test_the_assembly_joins_on_the_grouping_key(spark, conf):
     assert physical.count("Exchange") == 8
 
 
-def test_the_stored_fact_is_read_by_column(spark, tmp_path):
+def test_the_stored_fact_is_read_by_column(spark, conf, tmp_path):
     """Measures and distinct counts share two columns of the fact and leave its ids alone."""
+    conf(spark__sql__maxMetadataStringLength="2000", spark__sql__debug__maxToStringFields="200")
     store = parquet_store(str(tmp_path))
     fact = Warehouse(raw_tables(spark, "/root/testdata/sf0.001"), AS_OF, store)["fct_watch_event"]
     physical = plan(features.watch_features(fact, AS_OF)).split("== Physical Plan ==")[1]
