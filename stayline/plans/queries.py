@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections import ChainMap
 from collections.abc import Callable
 from datetime import datetime
 
@@ -44,8 +45,8 @@ def _on(compute: Callable[[Warehouse], DataFrame]) -> Query:
 def _fraction_input(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
     raw = samples.raw_tables(prepare(spark), sf_dir)
     fraction = (F.col("completion_percentage") / 100).cast("decimal(5,2)")
-    raw["raw_watch_events"] = raw["raw_watch_events"].withColumn("completion_percentage", fraction)
-    return comparable(Warehouse(raw, samples.AS_OF, **options)["fct_watch_event"])
+    watches = {"raw_watch_events": raw["raw_watch_events"].withColumn("completion_percentage", fraction)}
+    return comparable(Warehouse(ChainMap(watches, raw), samples.AS_OF, **options)["fct_watch_event"])
 
 
 def _columns(compute: Callable[[Warehouse], DataFrame], *names: str) -> Query:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from stayline.operators import dims, facts, features, staging
 
@@ -65,12 +65,17 @@ class Warehouse(Mapping):
         completion_scale: int = 1,
     ):
         self.as_of, self.week, self.completion_scale = as_of, week, completion_scale
-        self.spark = raw["raw_users"].sparkSession
-        self._store = store
+        self._raw, self._store = raw, store
         self._models = STAGING | MARTS
-        self._tables: dict[str, DataFrame] = dict(raw)
+        self._tables: dict[str, DataFrame] = {}
+
+    @property
+    def spark(self) -> SparkSession:
+        return self._raw["raw_users"].sparkSession
 
     def __getitem__(self, name: str) -> DataFrame:
+        if name in self._raw:
+            return self._raw[name]
         if name not in self._tables:
             table = self._models[name](self)
             if self._store and name in STORED:
@@ -79,10 +84,10 @@ class Warehouse(Mapping):
         return self._tables[name]
 
     def __iter__(self):
-        return iter(dict.fromkeys([*self._tables, *self._models]))
+        return iter([*self._raw, *self._models])
 
     def __len__(self) -> int:
-        return len(set(self._tables) | set(self._models))
+        return len(self._raw) + len(self._models)
 
 
 def run(raw: Mapping[str, DataFrame], as_of: date, store: Store | None = None, **options) -> dict[str, DataFrame]:

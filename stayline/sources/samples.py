@@ -6,6 +6,7 @@ and the bench; a production job reads its own raw tables with ``stayline.sources
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -142,10 +143,34 @@ def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return df
 
 
-def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The seven raw tables as lazy DataFrames over the parquet files in ``sf_dir``."""
-    base = {name: _read(spark, sf_dir, name) for name in BASE_TABLES}
-    return {name: spark.sql(text, **base) for name, text in RAW_SQL.items()}
+class RawTables(Mapping):
+    """The seven raw tables as lazy DataFrames over the parquet files of a folder, each set up when first asked for."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self._spark, self._sf_dir = spark, sf_dir
+        self._base: dict[str, DataFrame] = {}
+        self._raw: dict[str, DataFrame] = {}
+
+    def _base_table(self, name: str) -> DataFrame:
+        if name not in self._base:
+            self._base[name] = _read(self._spark, self._sf_dir, name)
+        return self._base[name]
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._raw:
+            used = {table: self._base_table(table) for table in BASE_TABLES if f"{{{table}}}" in RAW_SQL[name]}
+            self._raw[name] = self._spark.sql(RAW_SQL[name], **used)
+        return self._raw[name]
+
+    def __iter__(self):
+        return iter(RAW_SQL)
+
+    def __len__(self) -> int:
+        return len(RAW_SQL)
+
+
+def raw_tables(spark: SparkSession, sf_dir: str) -> RawTables:
+    return RawTables(spark, sf_dir)
 
 
 def duckdb_sql(name: str) -> str:
