@@ -175,9 +175,10 @@ def watch_features(fct_watch_event: DataFrame, as_of: date) -> DataFrame:
     """Both kinds of viewing features, joined on the key they are grouped by.
 
     In one aggregate the distinct counts would multiply every row and drag all other measures through their shuffle.
-    Apart they read nearly disjoint columns of the stored fact, and only the bare keys take the wide shuffle.
+    Apart they read nearly disjoint columns of the stored fact, and only the bare keys take the wide shuffle. Both sides
+    have the same customers; as a left join the distinct counts are dropped from a plan that does not select them.
     """
-    return watch_measures(fct_watch_event, as_of).join(watch_variety(fct_watch_event), "customer_key")
+    return watch_measures(fct_watch_event, as_of).join(watch_variety(fct_watch_event), "customer_key", "left")
 
 
 def watch_recent_features(fct_watch_event: DataFrame, as_of: date) -> DataFrame:

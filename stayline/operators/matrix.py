@@ -46,7 +46,11 @@ def impute(matrix: DataFrame, medians: Mapping[str, float]) -> DataFrame:
 
 
 def stratified_split(
-    df: DataFrame, key: str = "customer_id", label: str = LABEL, fraction: Decimal = TEST_FRACTION, seed: int = HASH_SEED
+    df: DataFrame,
+    key: str = "customer_id",
+    label: str = LABEL,
+    fraction: Decimal = TEST_FRACTION,
+    seed: int = HASH_SEED,
 ) -> DataFrame:
     """Add ``split``: exactly ceil(fraction * rows) of each label are 'test', drawn by seeded hash, the rest 'train'.
 

@@ -1,7 +1,7 @@
 """Order-based operators that never bring one group, or the whole table, onto one task.
 
-The pattern is the same throughout: cut the order into many buckets, aggregate per bucket (combined map-side), accumulate
-over the few buckets, and look at single rows only inside a bucket.
+The pattern is the same throughout: cut the order into many buckets, aggregate per bucket (combined map-side),
+accumulate over the few buckets, and look at single rows only inside a bucket.
 """
 
 from __future__ import annotations
@@ -32,7 +32,8 @@ def hash_cuts(
     Yields one row (label, cut_no, cut_hash) per label and fraction. Rows are counted per hash prefix; only the prefix
     holding a cut (one in 16**digits of the class) is ranked.
     """
-    hashed = df.select(F.col(label), seeded_hash(key, seed).alias("h")).withColumn("prefix", F.substring("h", 1, digits))
+    hashed = df.select(F.col(label), seeded_hash(key, seed).alias("h"))
+    hashed = hashed.withColumn("prefix", F.substring("h", 1, digits))
     in_order = Window.partitionBy(label).orderBy("prefix")
     counted = (
         hashed.groupBy(label, "prefix")

@@ -145,9 +145,10 @@ def class_balance(df: DataFrame, label: str = "target_is_churned") -> DataFrame:
 def catalog_checks(catalog: DataFrame, expected: Sequence[str], table: str = "raw_content_catalog") -> DataFrame:
     """Smoke checks of an ingested catalogue: it has rows, all columns, known types and prefixed ids."""
     missing = [c for c in expected if c not in catalog.columns]
+    kind = F.col("content_type")
     found = catalog.agg(
         (F.count("*") == 0).cast("int").alias("empty"),
-        F.count_distinct(F.when(~F.col("content_type").isin(*vocab.CONTENT_TYPES), F.col("content_type"))).alias("types"),
+        F.count_distinct(F.when(~kind.isin(*vocab.CONTENT_TYPES), kind)).alias("types"),
         count_where(~F.col("content_id").startswith(vocab.CONTENT_ID_PREFIX)).alias("prefix"),
         F.lit(len(missing)).alias("missing"),
     )

@@ -55,14 +55,15 @@ CTES["stg_subscription_events"] = (
 )
 CTES["stg_support_tickets"] = f"select {key('ticket_id')} interaction_key, * from raw_support_tickets"
 CTES["stg_watch_events"] = f"select {key('watch_event_id')} watch_event_key, * from raw_watch_events"
-CTES["stg_user_ratings"] = f"""select {key("rating_id")} rating_key, rating_id, customer_id, content_id, rating, rated_at
-from raw_user_ratings"""
+CTES["stg_user_ratings"] = f"""select {key("rating_id")} rating_key, rating_id, customer_id, content_id, rating,
+rated_at from raw_user_ratings"""
 CTES["stg_user_watchlist"] = f"""select {key("watchlist_id")} watchlist_key, watchlist_id, customer_id, content_id,
 added_at, is_watched from raw_user_watchlist"""
 CTES["catalog_latest_load"] = """select * from raw_content_catalog
 qualify row_number() over (partition by content_id order by _loaded_at desc nulls last, title, vote_count) = 1"""
-CTES["stg_content_catalog"] = f"""select {key("content_id")} content_key, content_id, try_cast(tmdb_id as integer) tmdb_id,
-title, content_type, genres genre_list, primary_genre, try_cast(release_date as date) release_date,
+CTES["stg_content_catalog"] = f"""select {key("content_id")} content_key, content_id,
+try_cast(tmdb_id as integer) tmdb_id, title, content_type, genres genre_list, primary_genre,
+try_cast(release_date as date) release_date,
 try_cast(vote_average as decimal(3,1)) vote_average, try_cast(vote_count as integer) vote_count,
 try_cast(popularity as decimal(10,2)) popularity, original_language, overview,
 try_cast(runtime_minutes as integer) runtime_minutes from catalog_latest_load"""
@@ -239,13 +240,15 @@ def _failures(kind: str) -> list[str]:
             if kind == "not_null":
                 failures = f"select count(*) from {table} where {column} is null"
             elif kind == "unique":
-                failures = f"select count(*) from (select {column} from {table} where {column} is not null group by 1 having count(*) > 1)"
+                repeated = f"select {column} from {table} where {column} is not null group by 1 having count(*) > 1"
+                failures = f"select count(*) from ({repeated})"
             elif kind == "accepted_values":
                 values = ", ".join(repr(v) for v in declared[kind][column])
                 failures = f"select count(distinct {column}) from {table} where {column} not in ({values})"
             else:
                 parent, parent_key = declared[kind][column]
-                failures = f"select count(*) from {table} x where {column} is not null and not exists (select 1 from {parent} y where y.{parent_key} = x.{column})"
+                known = f"select 1 from {parent} y where y.{parent_key} = x.{column}"
+                failures = f"select count(*) from {table} x where {column} is not null and not exists ({known})"
             found.append(_check(kind, table, column, failures))
     return found
 
@@ -285,13 +288,14 @@ case when m is null or epoch(cast({AS_OF} as timestamp) - m) > 30 * 86400 then '
 from (select max(_loaded_at) m from raw_content_catalog) newest"""
 CTES["catalog_checks"] = _report(
     [
-        _check("not_empty", "raw_content_catalog", "*", "select case when count(*) = 0 then 1 else 0 end from raw_content_catalog"),
+        _check("not_empty", "raw_content_catalog", "*", "select (count(*) = 0)::int from raw_content_catalog"),
         _check("has_columns", "raw_content_catalog", "*", "select 0"),
         _check(
             "accepted_values",
             "raw_content_catalog",
             "content_type",
-            "select count(distinct content_type) from raw_content_catalog where content_type not in ('movie', 'tv_show')",
+            "select count(distinct content_type) from raw_content_catalog "
+            "where content_type not in ('movie', 'tv_show')",
         ),
         _check(
             "id_prefix",
@@ -378,11 +382,11 @@ CTES["labelled"] = "select customer_id, cast(is_churned as integer) as label fro
 CTES["drawn"] = """select customer_id, label,
 row_number() over (partition by label order by md5('42|' || customer_id)) place,
 count(*) over (partition by label) total from labelled"""
-CTES["stratified_split"] = """select customer_id, label, case when place <= ceil(total * 0.2) then 'test' else 'train' end
-split from drawn"""
+CTES["stratified_split"] = """select customer_id, label,
+case when place <= ceil(total * 0.2) then 'test' else 'train' end split from drawn"""
 CTES["stratified_folds"] = """select customer_id, label, cast((place > ceil(total * 0.2))::int
-+ (place > ceil(total * 0.4))::int + (place > ceil(total * 0.6))::int + (place > ceil(total * 0.8))::int as integer) fold
-from drawn"""
++ (place > ceil(total * 0.4))::int + (place > ceil(total * 0.6))::int
++ (place > ceil(total * 0.8))::int as integer) fold from drawn"""
 
 
 def _filled(scope: str) -> str:

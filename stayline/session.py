@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 # of the events) is split across tasks.
 RUNTIME_CONF = {
     "spark.sql.session.timeZone": "UTC",
+    "spark.sql.ansi.enabled": "true",  # a strict cast of a bad value fails the load
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -36,13 +37,14 @@ def prepare(spark: SparkSession) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors can reach: ``spark.checkpoint.dir``, or a temporary one where that is unset."""
-    current = spark.sparkContext.getCheckpointDir()
-    if current:
-        return current
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    spark.sparkContext.setCheckpointDir(configured or tempfile.mkdtemp(prefix="stayline-"))
-    return spark.sparkContext.getCheckpointDir()
+    """The folder all executors can reach: ``spark.checkpoint.dir``. A local session without it gets a temporary one."""
+    context = spark.sparkContext
+    if not context.getCheckpointDir():
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        if not configured and not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors can reach")
+        context.setCheckpointDir(configured or tempfile.mkdtemp(prefix="stayline-"))
+    return context.getCheckpointDir()
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

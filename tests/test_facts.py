@@ -130,6 +130,14 @@ def test_daily_activity_needs_viewing_and_a_known_customer(spark):
     assert got == [(None, 0, None, 0), (d("2024-03-01"), 0, None, 0)]
 
 
+def test_daily_activity_attaches_its_parts_without_further_shuffles(spark, conf):
+    """Two exchanges for the distinct titles, one per other aggregate, and two for the customer lookup at the end."""
+    conf(spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__enabled="false")
+    physical = plan(daily(spark, [watch(1)])).split("== Physical Plan ==")[1]
+    assert physical.count("SortMergeJoin") == 3
+    assert physical.count("Exchange") == 6
+
+
 @pytest.mark.parametrize(("titles", "binge"), [(2, False), (3, True)])
 def test_binge_day_counts_distinct_titles(spark, titles, binge):
     events = [watch(i, title=f"t{i % titles}") for i in range(6)]
