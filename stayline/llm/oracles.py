@@ -45,7 +45,7 @@ with base as (
 )
 select doc_id, n_words::bigint as n_words, word_chars::bigint as word_chars, n_symbols::bigint as n_symbols,
     n_dup_lines::bigint as n_dup_lines, n_repeat_words::bigint as n_repeat_words, base_failed,
-    not base_failed and len(failed_rules) = 0 as kept, failed_rules
+    not base_failed and len(failed_rules) = 0 as kept, array_to_string(failed_rules, '; ') as failed_rules
 from (
     select *, list_filter([
         case when n_symbols / w > 0.3 then 'symbols per word' end,
@@ -58,4 +58,40 @@ from (
 )
 """
 
-ORACLES = {"op10_quality_rules": QUALITY_RULES}
+DECONTAMINATION = r"""
+with doc_words as (
+    select doc_id, regexp_extract_all(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w
+    from documents
+), item_words as (
+    select item_id, regexp_extract_all(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w
+    from benchmark where item_id is not null
+), windows as (
+    select distinct item_id, least(len(w), 10) as n, array_to_string(w[i:i + 9], ' ') as win
+    from (select item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) as i from item_words where len(w) > 0)
+), runs as (
+    select doc_id, i, n, array_to_string(w[i:i + n - 1], ' ') as win
+    from (
+        select doc_id, w, n, unnest(range(1, len(w) - n + 2)) as i
+        from doc_words, (select distinct n from windows) where len(w) >= n
+    )
+), hits as (
+    select r.doc_id, r.i, r.n, v.item_id from runs r join windows v on r.win = v.win and r.n = v.n
+), hit_words as (
+    select doc_id, count(distinct pos) as n_hit
+    from (select distinct doc_id, unnest(range(i, i + n)) as pos from hits) group by doc_id
+), items as (
+    select doc_id, count(*) as n_items, string_agg(item_id::varchar, ',' order by item_id::varchar) as ids
+    from (select distinct doc_id, item_id from hits) group by doc_id
+)
+select d.doc_id, len(d.w)::bigint as n_words, coalesce(h.n_hit, 0)::bigint as n_hit,
+    coalesce(i.n_items, 0)::bigint as n_items, sha256(coalesce(i.ids, '')) as items_sha256,
+    coalesce(h.n_hit, 0) > 0 as contaminated
+from doc_words d left join hit_words h on d.doc_id = h.doc_id left join items i on d.doc_id = i.doc_id
+"""
+
+ORACLES = {
+    "op4_decontamination": DECONTAMINATION,
+    "op10_quality_rules": QUALITY_RULES,
+}

@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from stayline.llm import rules
+from stayline.llm import decontaminate, rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -25,10 +26,16 @@ def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "n_repeat_words",
         "base_failed",
         "kept",
-        "failed_rules",
+        F.concat_ws("; ", "failed_rules").alias("failed_rules"),
     )
 
 
+def decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return decontaminate.digest(found)
+
+
 QUERIES: dict[str, Query] = {
+    "op4_decontamination": decontamination,
     "op10_quality_rules": quality_rules,
 }
