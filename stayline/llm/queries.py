@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stayline.llm import decontaminate, rules
+from stayline.llm import decontaminate, rules, token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -35,7 +35,20 @@ def decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digest(found)
 
 
+def tokenizer_file(name: str) -> str:
+    """The place of a public vocabulary; only the driver needs it, tasks get the loaded tables."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def count_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return token_counts.token_counts(docs, tokenizer_file("piece_bpe_32k.model"))
+
+
 QUERIES: dict[str, Query] = {
     "op4_decontamination": decontamination,
+    "op5_token_counts": count_tokens,
     "op10_quality_rules": quality_rules,
 }
