@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stayline.llm import decontaminate, rules, token_counts
+from stayline.llm import byte_bpe, decontaminate, rules, token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -47,8 +47,15 @@ def count_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(docs, tokenizer_file("piece_bpe_32k.model"))
 
 
+def bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, vocabulary = table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json")
+    encoded = byte_bpe.encode(docs.select("doc_id", "text"), vocabulary)
+    return byte_bpe.digest(byte_bpe.decode(encoded, vocabulary))
+
+
 QUERIES: dict[str, Query] = {
     "op4_decontamination": decontamination,
     "op5_token_counts": count_tokens,
+    "op6_bpe_round_trip": bpe_round_trip,
     "op10_quality_rules": quality_rules,
 }
