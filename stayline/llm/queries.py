@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stayline.llm import byte_bpe, decontaminate, rules, token_counts
+from stayline.llm import byte_bpe, decontaminate, near_duplicates, rules, token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -53,7 +53,12 @@ def bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.digest(byte_bpe.decode(encoded, vocabulary))
 
 
+def jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates.join(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
+    "op2_jaccard_join": jaccard_join,
     "op4_decontamination": decontamination,
     "op5_token_counts": count_tokens,
     "op6_bpe_round_trip": bpe_round_trip,
