@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stayline.llm import byte_bpe, decontaminate, near_duplicates, rules, token_counts
+from stayline.llm import byte_bpe, decontaminate, near_duplicates, rules, secrets, token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -57,10 +57,24 @@ def jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates.join(table(spark, sf_dir, "documents"))
 
 
+def secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    words, score = secrets.trained(docs)
+    real = F.filter("findings", lambda x: x["real"])
+    return secrets.scan(docs, words, score).select(
+        "doc_id",
+        F.size("findings").cast("long").alias("n_candidates"),
+        F.size(real).cast("long").alias("n_secrets"),
+        F.array_join(F.transform(real, lambda x: F.concat_ws("+", x["start"], F.length(x["value"]))), ",").alias("spans"),
+        F.sha2(F.coalesce("redacted", F.lit("")), 256).alias("redacted_sha256"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op2_jaccard_join": jaccard_join,
     "op4_decontamination": decontamination,
     "op5_token_counts": count_tokens,
     "op6_bpe_round_trip": bpe_round_trip,
+    "op7_secret_scan": secret_scan,
     "op10_quality_rules": quality_rules,
 }
