@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stayline.llm import byte_bpe, decontaminate, near_duplicates, rules, secrets, token_counts
+from stayline.llm import byte_bpe, decontaminate, near_duplicates, rules, secrets, substrings, token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -70,8 +70,23 @@ def secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.repeats(table(spark, sf_dir, "documents")).withColumn(
+        "repeated", F.col("n_repeat_words") > 0
+    ).select(
+        "doc_id",
+        "n_chunks",
+        "n_words",
+        "n_repeat_words",
+        "n_removed_words",
+        "repeated",
+        F.array_join(F.col("removed").cast("array<string>"), ",").alias("removed_bytes"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op2_jaccard_join": jaccard_join,
+    "op3_substring_dedup": substring_dedup,
     "op4_decontamination": decontamination,
     "op5_token_counts": count_tokens,
     "op6_bpe_round_trip": bpe_round_trip,
