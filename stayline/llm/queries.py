@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stayline.llm import byte_bpe, decontaminate, near_duplicates, rules, secrets, substrings, token_counts
+from stayline.llm import byte_bpe, decontaminate, near_duplicates, rules, secrets, site_trees, substrings, token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -84,7 +84,12 @@ def substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return site_trees.main_text(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
 QUERIES: dict[str, Query] = {
+    "op1_html_extraction": html_extraction,
     "op2_jaccard_join": jaccard_join,
     "op3_substring_dedup": substring_dedup,
     "op4_decontamination": decontamination,
