@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stayline.llm import byte_bpe, decontaminate, near_duplicates, rules, secrets, site_trees, substrings, token_counts
+from stayline.llm import (
+    byte_bpe,
+    cotraining,
+    decontaminate,
+    near_duplicates,
+    rules,
+    secrets,
+    site_trees,
+    substrings,
+    token_counts,
+    tool_calls,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -88,6 +99,17 @@ def html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return site_trees.main_text(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
 
 
+def chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    calls, results, predecessors = tool_calls.sample_exchanges(table(spark, sf_dir, "conversations"))
+    return tool_calls.link(calls, results, predecessors, tool_calls.SAMPLE_SCHEMAS).withColumn(
+        "errors", F.array_join("errors", "; ")
+    )
+
+
+def quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cotraining.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_html_extraction": html_extraction,
     "op2_jaccard_join": jaccard_join,
@@ -96,5 +118,7 @@ QUERIES: dict[str, Query] = {
     "op5_token_counts": count_tokens,
     "op6_bpe_round_trip": bpe_round_trip,
     "op7_secret_scan": secret_scan,
+    "op8_chat_formatting": chat_formatting,
+    "op9_quality_classifier": quality_classifier,
     "op10_quality_rules": quality_rules,
 }
