@@ -16,6 +16,7 @@ from stayline.session import build_session
 
 HEADLINE = (
     "ml_feature_store",
+    "ml_feature_store_stored",
     "fct_watch_event",
     "fct_daily_user_activity",
     "fct_subscription_event",

@@ -220,8 +220,11 @@ def support_features(fct_support_interaction: DataFrame, as_of: date) -> DataFra
 
 
 def _by_key(events: DataFrame) -> DataFrame:
-    """Events that carry the customer id, under the key it hashes to: no lookup is needed to group them."""
-    return events.withColumn("customer_key", surrogate_key("customer_id"))
+    """Events that carry the customer id, under the key it hashes to: no lookup is needed to group them.
+
+    Without an id there is no customer: a NULL would hash to a key like any other.
+    """
+    return events.where(F.col("customer_id").isNotNull()).withColumn("customer_key", surrogate_key("customer_id"))
 
 
 def _rating_aggregates(ratings: DataFrame) -> DataFrame:

@@ -54,13 +54,15 @@ def stratified_split(
 ) -> DataFrame:
     """Add ``split``: exactly ceil(fraction * rows) of each label are 'test', drawn by seeded hash, the rest 'train'.
 
+    A row without a label belongs to neither part: its split is NULL.
+
     Two passes over (key, label) find one cut hash per label; no row of the table itself is shuffled.
     """
     cuts = hash_cuts(df, key, label, [fraction], seed).select(label, "cut_hash")
     is_test = seeded_hash(key, seed) <= F.col("cut_hash")
     return (
         df.join(F.broadcast(cuts), label, "left")  # one row per label
-        .withColumn("split", F.when(is_test, "test").otherwise("train"))
+        .withColumn("split", F.when(F.col(label).isNotNull(), F.when(is_test, "test").otherwise("train")))
         .select(*df.columns, "split")
     )
 
@@ -68,7 +70,10 @@ def stratified_split(
 def stratified_folds(
     df: DataFrame, key: str = "customer_id", label: str = LABEL, k: int = N_FOLDS, seed: int = HASH_SEED
 ) -> DataFrame:
-    """Add ``fold`` 0..k-1, each label spread evenly (sizes differ by at most one) and at random by seeded hash."""
+    """Add ``fold`` 0..k-1, each label spread evenly (sizes differ by at most one) and at random by seeded hash.
+
+    A row without a label has no fold.
+    """
     fractions = [Decimal(i) / k for i in range(1, k)]
     cuts = (
         hash_cuts(df, key, label, fractions, seed)
@@ -76,7 +81,7 @@ def stratified_folds(
         .agg(F.collect_list("cut_hash").alias("cuts"))  # k - 1 entries
     )
     fold = F.size(F.filter("cuts", lambda cut: cut < seeded_hash(key, seed)))
-    return df.join(F.broadcast(cuts), label, "left").withColumn("fold", fold).select(*df.columns, "fold")
+    return df.join(F.broadcast(cuts), label, "left").withColumn("fold", F.when(F.col(label).isNotNull(), fold)).select(*df.columns, "fold")
 
 
 def class_weight(df: DataFrame, label: str = LABEL) -> DataFrame:

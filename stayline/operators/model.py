@@ -56,7 +56,12 @@ def _vectors(imputed: DataFrame, features: list[str]) -> DataFrame:
 
 
 def fit(train: DataFrame, medians: dict[str, float] | None = None, **params) -> ChurnModel:
-    """Fit on a training matrix. Medians come from it unless given; the positive class is weighted up to balance."""
+    """Fit on a training matrix. Medians come from it unless given; the positive class is weighted up to balance.
+
+    Rows without a label teach nothing and are left out. Rows are laid out by id before the fit, so that the sampling of
+    the trees does not depend on how the input happened to be partitioned.
+    """
+    train = train.where(F.col(LABEL).isNotNull())
     shared_dir(train.sparkSession)  # the trees' periodic checkpoints go to the shared folder
     features = matrix.feature_columns(train)
     medians = matrix.fit_medians(train) if medians is None else medians
@@ -66,13 +71,13 @@ def fit(train: DataFrame, medians: dict[str, float] | None = None, **params) ->
     )
     trees = GBTClassifier(
         featuresCol=_VECTOR, labelCol=LABEL, weightCol=_WEIGHT, **{**GBT_PARAMS, **params}
-    ).fit(weighted.select(_VECTOR, LABEL, _WEIGHT))
+    ).fit(weighted.repartitionByRange("customer_id").sortWithinPartitions("customer_id").select(_VECTOR, LABEL, _WEIGHT))
     return ChurnModel(trees, features, medians)
 
 
 def cross_validate(train: DataFrame, k: int = matrix.N_FOLDS, **params) -> list[float]:
     """ROC-AUC of each held-out fold. The driver loops over k folds, never over rows."""
-    folded = cut_lineage(matrix.stratified_folds(train, k=k))
+    folded = cut_lineage(matrix.stratified_folds(train.where(F.col(LABEL).isNotNull()), k=k))
     judge = BinaryClassificationEvaluator(
         rawPredictionCol=SCORE, labelCol=LABEL, metricName="areaUnderROC", numBins=0
     )
@@ -99,11 +104,23 @@ def importance_ranking(spark, model: ChurnModel, top: int | None = 15) -> DataFr
     return ranked if top is None else ranked.limit(top)
 
 
+def run_facts(split_matrix: DataFrame) -> DataFrame:
+    """What a training run records about its input, as rows (metric, value)."""
+    facts = split_matrix.agg(
+        F.count_if(F.col("split") == "train").cast("double").alias("train_size"),
+        F.count_if(F.col("split") == "test").cast("double").alias("test_size"),
+        F.lit(float(len(matrix.feature_columns(split_matrix)))).alias("n_features"),
+        F.avg(LABEL).alias("churn_rate"),
+    )
+    return facts.unpivot([], facts.columns, "metric", "value")
+
+
 @dataclass
 class TrainingRun:
     model: ChurnModel
     test_scores: DataFrame
     metrics: DataFrame
+    folds: list[float]
 
 
 def train(
@@ -111,11 +128,13 @@ def train(
     cv_folds: int = matrix.N_FOLDS,
     impute_scope: str = "train",
     trained_at: datetime | None = None,
+    fitted: ChurnModel | None = None,
     **params,
 ) -> TrainingRun:
     """Split, cross-validate, fit, evaluate on the test part, and record the metrics as rows (metric, value).
 
-    ``impute_scope='train'`` learns the medians on the training part only; ``'all'`` on the whole matrix.
+    ``impute_scope='train'`` learns the medians on the training part only; ``'all'`` on the whole matrix. ``fitted`` is a
+    model of this very training part and these settings, if there is one already.
     """
     if impute_scope not in ("train", "all"):
         raise ValueError(f"impute_scope must be 'train' or 'all', not {impute_scope!r}")
@@ -125,21 +144,12 @@ def train(
     test_part = whole.where("split = 'test'").drop("split")
     medians = matrix.fit_medians(whole) if impute_scope == "all" else None
     folds = cross_validate(train_part, cv_folds, **params) if cv_folds else []
-    model = fit(train_part, medians, **params)
+    model = fitted or fit(train_part, medians, **params)
     test_scores = cut_lineage(model.score(test_part).select("customer_id", LABEL, SCORE))
-    sizes = whole.agg(
-        F.count_if(F.col("split") == "train").alias("train"),
-        F.count_if(F.col("split") == "test").alias("test"),
-        F.avg(LABEL).alias("rate"),
-    ).first()
     model.metrics = {
         "test_auc": evaluate.roc_auc(test_scores).first()["roc_auc"],
         "test_avg_precision": evaluate.average_precision(test_scores).first()["average_precision"],
-        "train_size": float(sizes["train"]),
-        "test_size": float(sizes["test"]),
-        "n_features": float(len(model.features)),
-        "churn_rate": sizes["rate"],
-    }
+    } | {row["metric"]: row["value"] for row in run_facts(whole).collect()}
     if folds:
         mean = sum(folds) / len(folds)
         model.metrics |= {
@@ -149,7 +159,7 @@ def train(
     metrics = spark.createDataFrame(list(model.metrics.items()), "metric string, value double")
     if trained_at is not None:
         metrics = metrics.withColumn("trained_at", F.lit(trained_at.isoformat(sep=" ")).cast("timestamp"))
-    return TrainingRun(model, test_scores, metrics)
+    return TrainingRun(model, test_scores, metrics, folds)
 
 
 def score_customers(model: ChurnModel, feature_table: DataFrame) -> DataFrame:

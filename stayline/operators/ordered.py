@@ -85,13 +85,16 @@ def numbered(df: DataFrame, group: str, hash_column: str, number: str, digits: i
     )
 
 
-def running_totals(df: DataFrame, order: str, values: Sequence[str], buckets: int = 256) -> DataFrame:
+def running_totals(
+    df: DataFrame, order: str, values: Sequence[str], buckets: int | None = None, stored: bool = False
+) -> DataFrame:
     """Add ``upto_<value>``: the sum of the value over all rows up to and including this one, by distinct ``order``.
 
-    Eager: the input is written out, so it is computed once, and its quantiles (at most ``buckets`` numbers) cut the
-    order into buckets of similar size.
+    Eager: the input is written out, so it is computed once (a ``stored`` frame is used as it is), and its quantiles cut
+    the order into buckets of similar size, by default two for each shuffle partition.
     """
-    fixed = cut_lineage(df)
+    fixed = df if stored else cut_lineage(df)
+    buckets = buckets or 2 * max(16, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     quantiles = fixed.approxQuantile(order, [i / buckets for i in range(1, buckets)], 1 / (4 * buckets))
     splits = [float("-inf"), *sorted(set(quantiles)), float("inf")]
     placed = Bucketizer(splits=splits, inputCol=order, outputCol="_bucket").transform(fixed)
@@ -108,35 +111,36 @@ def running_totals(df: DataFrame, order: str, values: Sequence[str], buckets: in
     )
 
 
-def exact_medians(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+def exact_medians(df: DataFrame, columns: Sequence[str], slices: int = 64) -> DataFrame:
     """Exact median (midpoint for an even count) of each double column: (column_name, median); NULLs are ignored.
 
-    A sketch brackets the middle two percent of each column. Values below the bracket are only counted; the few
-    different values inside it are ranked. A column without values yields no row.
+    Sketches per column, combined before the shuffle and spread by column, cut the middle two percent into slices. Values
+    outside are only counted, and single values are ranked inside the one or two slices that hold the middle, about one
+    in ``slices * 50`` of the column. A column without values yields no row.
     """
-    sketches = df.agg(*[F.percentile_approx(c, [0.49, 0.51], 10_000).alias(c) for c in columns])
-    bracket = sketches.select(
-        F.inline(
-            F.array(
-                *[
-                    F.struct(F.lit(c).alias("column_name"), F.col(c)[0].alias("low"), F.col(c)[1].alias("high"))
-                    for c in columns
-                ]
-            )
-        )
-    )
     cells = df.select(
         F.inline(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("value")) for c in columns]))
     ).where("value is not null")
-    bracketed = F.when((F.col("value") >= F.col("low")) & (F.col("value") <= F.col("high")), F.col("value"))
+    marks = [0.49 + 0.02 * i / slices for i in range(slices + 1)]
+    bounds = cells.groupBy("column_name").agg(F.percentile_approx("value", marks, 2000).alias("bounds"))
+    # The slice of a value: how many bounds lie below it. The first and the last slice are everything outside.
+    slice_no = F.size(F.filter("bounds", lambda bound: bound < F.col("value")))
+    placed = cells.join(F.broadcast(bounds), "column_name").select("column_name", "value", slice_no.alias("slice"))
+    in_order = Window.partitionBy("column_name").orderBy("slice")
     counted = (
-        cells.join(F.broadcast(bracket), "column_name")  # one row per column
-        .groupBy("column_name", bracketed.alias("value"), (F.col("value") > F.col("high")).alias("above"))
+        placed.groupBy("column_name", "slice")
+        .agg(F.count("*").alias("n"))
+        .withColumn("before", F.sum("n").over(in_order) - F.col("n"))
+        .withColumn("total", F.sum("n").over(Window.partitionBy("column_name")))
+    )
+    middle = counted.where("before < (total + 2) div 2 and (total + 1) div 2 <= before + n").drop("n")
+    by_value = Window.partitionBy("column_name", "slice").orderBy("value")
+    ranked = (
+        placed.join(F.broadcast(middle), ["column_name", "slice"])  # at most two rows per column
+        .groupBy("column_name", "slice", "before", "total", "value")
         .agg(F.count("*").alias("n"))
+        .withColumn("upto", F.col("before") + F.sum("n").over(by_value))
     )
-    by_value = Window.partitionBy("column_name").orderBy("above", F.col("value").asc_nulls_first())
-    whole = Window.partitionBy("column_name")
-    ranked = counted.withColumn("upto", F.sum("n").over(by_value)).withColumn("total", F.sum("n").over(whole))
 
     def at(rank: str) -> Column:
         return F.max(F.when(F.expr(f"upto - n < {rank} and {rank} <= upto"), F.col("value")))

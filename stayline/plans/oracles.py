@@ -8,11 +8,95 @@ from __future__ import annotations
 
 import re
 
-from stayline.functions import vocab
-from stayline.operators.features import FEATURE_GROUPS, FEATURES
-from stayline.plans.checks import CHECKS, KINDS
 from stayline.sources import samples
 
+# Fixed values, written out here on their own: the 55 features in output order, those that count something and so are zero
+# for a customer without rows, and the declared checks.
+FEATURES = (
+    "tenure_days", "age", "age_band_encoded", "plan_type_encoded", "monthly_revenue", "acquisition_channel_encoded",
+    "device_type_encoded", "total_watch_events", "total_active_days", "unique_titles_watched", "unique_sessions",
+    "total_watch_minutes", "avg_watch_duration_min", "max_watch_duration_min", "avg_completion_pct",
+    "completed_count", "abandoned_count", "completion_rate", "abandonment_rate", "resumed_count", "resume_rate",
+    "binge_session_count", "device_count", "days_since_last_watch", "watch_events_last_7d", "watch_minutes_last_7d",
+    "watch_events_last_30d", "watch_minutes_last_30d", "watch_trend_7d_vs_30d", "total_subscription_events",
+    "upgrade_count", "downgrade_count", "net_plan_changes", "has_downgraded", "activity_level_encoded",
+    "total_support_tickets", "avg_resolution_hours", "avg_sentiment_score", "min_sentiment_score",
+    "negative_ticket_count", "negative_ticket_rate", "unresolved_ticket_count", "billing_tickets",
+    "technical_tickets", "critical_tickets", "total_ratings", "avg_rating_given", "low_ratings_count",
+    "high_ratings_count", "total_watchlist_items", "watchlist_watched_count", "watchlist_conversion_rate",
+    "recency_risk_score", "support_frustration_score", "heuristic_churn_risk_score",
+)
+ZEROED = (
+    "total_watch_events", "total_active_days", "unique_titles_watched", "unique_sessions", "total_watch_minutes",
+    "completed_count", "abandoned_count", "resumed_count", "binge_session_count", "device_count",
+    "watch_events_last_7d", "watch_minutes_last_7d", "watch_events_last_30d", "watch_minutes_last_30d",
+    "total_subscription_events", "upgrade_count", "downgrade_count", "net_plan_changes", "has_downgraded",
+    "total_support_tickets", "negative_ticket_count", "unresolved_ticket_count", "billing_tickets",
+    "technical_tickets", "critical_tickets", "total_ratings", "low_ratings_count", "high_ratings_count",
+    "total_watchlist_items", "watchlist_watched_count",
+)
+KINDS = ("not_null", "unique", "accepted_values", "relationships")
+CHECKS = {"raw_content_catalog": {"not_null": ["content_id", "title", "content_type"],
+                         "accepted_values": {"content_type": ("movie", "tv_show")}},
+ "raw_users": {"not_null": ["customer_id", "signup_date"],
+               "accepted_values": {"plan_type": ("basic", "standard", "premium"),
+                                   "activity_level": ("low", "medium", "high")}},
+ "raw_subscription_events": {"not_null": ["customer_id", "event_type", "event_date"],
+                             "accepted_values": {"event_type": ("subscribe", "upgrade", "downgrade", "cancel")}},
+ "raw_watch_events": {"not_null": ["watch_event_id", "customer_id", "content_id", "watch_date"]},
+ "raw_user_ratings": {"not_null": ["rating_id", "customer_id", "content_id", "rating"],
+                      "accepted_values": {"rating": (1, 2, 3, 4, 5)}},
+ "raw_user_watchlist": {"not_null": ["watchlist_id", "customer_id", "content_id", "added_at"]},
+ "raw_support_tickets": {"not_null": ["ticket_id", "customer_id"]},
+ "stg_customers": {"not_null": ["customer_key", "customer_id"], "unique": ["customer_key", "customer_id"]},
+ "stg_subscription_events": {"not_null": ["subscription_event_key", "customer_id"],
+                             "unique": ["subscription_event_key"]},
+ "stg_support_tickets": {"not_null": ["interaction_key", "ticket_id"], "unique": ["interaction_key", "ticket_id"]},
+ "stg_content_catalog": {"not_null": ["content_key", "content_id"], "unique": ["content_key", "content_id"]},
+ "dim_date": {"not_null": ["date_day"], "unique": ["date_day"]},
+ "dim_customer": {"not_null": ["customer_key", "customer_id"],
+                  "unique": ["customer_key", "customer_id"],
+                  "accepted_values": {"plan_type": ("basic", "standard", "premium")}},
+ "dim_content": {"not_null": ["content_key", "content_id"],
+                 "unique": ["content_key", "content_id"],
+                 "accepted_values": {"content_type": ("movie", "tv_show")}},
+ "fct_watch_event": {"not_null": ["watch_event_key", "customer_key", "content_key", "date_day"],
+                     "unique": ["watch_event_key"],
+                     "accepted_values": {"engagement_level": ("completed", "engaged", "sampled", "abandoned")},
+                     "relationships": {"customer_key": ("dim_customer", "customer_key"),
+                                       "content_key": ("dim_content", "content_key"),
+                                       "date_day": ("dim_date", "date_day")}},
+ "fct_support_interaction": {"not_null": ["interaction_key", "customer_key", "date_day"],
+                             "unique": ["interaction_key"],
+                             "accepted_values": {"sentiment_tier": ("positive", "neutral", "negative"),
+                                                 "resolution_tier": ("quick", "standard", "slow", "critical")},
+                             "relationships": {"customer_key": ("dim_customer", "customer_key")}},
+ "fct_daily_user_activity": {"not_null": ["activity_key",
+                                          "customer_key",
+                                          "date_day",
+                                          "sessions_count",
+                                          "daily_engagement_score"],
+                             "unique": ["activity_key"],
+                             "relationships": {"customer_key": ("dim_customer", "customer_key"),
+                                               "date_day": ("dim_date", "date_day")}},
+ "fct_subscription_event": {"not_null": ["subscription_event_key",
+                                         "customer_key",
+                                         "date_day",
+                                         "event_type",
+                                         "plan_type",
+                                         "monthly_revenue"],
+                            "unique": ["subscription_event_key"],
+                            "accepted_values": {"event_type": ("subscribe", "upgrade", "downgrade", "cancel"),
+                                                "plan_type": ("basic", "standard", "premium")},
+                            "relationships": {"customer_key": ("dim_customer", "customer_key"),
+                                              "date_day": ("dim_date", "date_day")}}}
+
+AGE_BAND_CODES = {"18-24": 1, "25-34": 2, "35-44": 3, "45-54": 4, "55+": 5}
+PLAN_CODES = {"basic": 1, "standard": 2, "premium": 3}
+CHANNEL_CODES = {"organic": 1, "referral": 2, "paid_search": 3, "social": 4, "tv_ad": 5}
+DEVICE_CODES = {"smart_tv": 1, "desktop": 2, "mobile": 3, "tablet": 4, "gaming_console": 5}
+ACTIVITY_CODES = {"low": 1, "medium": 2, "high": 3}
+
 AS_OF = f"date '{samples.AS_OF}'"
 NO_KEY = "_dbt_utils_surrogate_key_null_"
 
@@ -150,10 +234,10 @@ window line as (partition by customer_id order by event_date,
 
 CTES["feat_customer"] = f"""select customer_key, customer_id, is_churned, churn_date,
 cast({AS_OF} - signup_date as integer) tenure_days, age,
-{codes("age_band", vocab.AGE_BAND_CODES)} age_band_encoded, {codes("plan_type", vocab.PLAN_CODES)} plan_type_encoded,
-monthly_revenue, {codes("acquisition_channel", vocab.CHANNEL_CODES)} acquisition_channel_encoded,
-{codes("device_type", vocab.DEVICE_CODES)} device_type_encoded,
-{codes("activity_level", vocab.ACTIVITY_CODES)} activity_level_encoded from dim_customer"""
+{codes("age_band", AGE_BAND_CODES)} age_band_encoded, {codes("plan_type", PLAN_CODES)} plan_type_encoded,
+monthly_revenue, {codes("acquisition_channel", CHANNEL_CODES)} acquisition_channel_encoded,
+{codes("device_type", DEVICE_CODES)} device_type_encoded,
+{codes("activity_level", ACTIVITY_CODES)} activity_level_encoded from dim_customer"""
 CTES["feat_watch"] = f"""select customer_key, count(*) total_watch_events, count(distinct date_day) total_active_days,
 count(distinct content_key) unique_titles_watched, count(distinct session_id) unique_sessions,
 cast(sum(watch_duration_minutes) as bigint) total_watch_minutes,
@@ -203,17 +287,12 @@ CTES["feat_watchlist"] = f"""select customer_key, count(*) total_watchlist_items
 count(*) filter (is_watched) watchlist_watched_count, {rate("count(*) filter (is_watched)")} watchlist_conversion_rate
 from stg_user_watchlist join dim_customer using (customer_id) group by customer_key"""
 
-_ZEROED = [
-    name
-    for name in FEATURES
-    if re.search(r"_count$|^total_|^unique_|^watch_(events|minutes)_|_tickets$|_ratings_count$|^net_|^has_", name)
-]
-CTES["joined_features"] = f"""select * replace ({", ".join(f"ifnull({c}, 0) as {c}" for c in _ZEROED)},
+CTES["joined_features"] = f"""select * replace ({", ".join(f"ifnull({c}, 0) as {c}" for c in ZEROED)},
 ifnull(days_since_last_watch, 9999) as days_since_last_watch)
 from feat_customer left join feat_watch using (customer_key) left join feat_watch_recent using (customer_key)
 left join feat_subscription using (customer_key) left join feat_support using (customer_key)
 left join feat_rating using (customer_key) left join feat_watchlist using (customer_key)"""
-_MEASURED = [c for group, names in FEATURE_GROUPS.items() if group != "composite_risk" for c in names]
+_MEASURED = FEATURES[:52]  # without the three composite scores
 CTES["ml_feature_store"] = f"""select customer_key, customer_id, is_churned target_is_churned,
 churn_date target_churn_date, {", ".join(_MEASURED)},
 case when days_since_last_watch < 1 then 1 when days_since_last_watch < 3 then 2 when days_since_last_watch < 7 then 3
@@ -348,7 +427,8 @@ CTES["catalog_flatten"] = (
     + _flat("tv_show", "p_size % 4 = 0", "TMDB_T_", "p_size + 20")
 )
 CTES["catalog_flatten_json"] = "select *, timestamp '2024-06-29 06:00:00' _loaded_at from catalog_flatten"
-CTES["catalog_genres"] = "select content_id, unnest(string_split(genres, '|')) genre from catalog_flatten"
+CTES["catalog_genres"] = """select * from (select content_id, unnest(string_split(genres, '|')) genre from catalog_flatten)
+where genre <> ''"""
 
 # Titles.
 CTES["user_title_summary"] = """select customer_id, content_id, max(completion_percentage) max_completion,
@@ -445,9 +525,29 @@ group by t.risk_tier"""
 CTES["top_risk_customers"] = """select customer_id, score, risk_tier, days_since_last_watch, has_downgraded,
 heuristic_churn_risk_score, negative_ticket_count from tiered order by score desc, customer_id limit 10"""
 
+_BY_DAY = """select year, fiscal_year, quarter, month, month_name, day_of_week_num, day_of_week_name, is_weekend,
+count(*) n_viewings, cast(sum(watch_duration_minutes) as bigint) as minutes
+from stg_watch_events join {calendar} on watch_date = date_day group by all"""
+CTES["calendar_viewing"] = _BY_DAY.format(calendar="dim_date")
+CTES["calendar_viewing_source_week"] = _BY_DAY.format(calendar="dim_date_source_week")
+CTES["training_facts"] = """select 'train_size' metric, cast(count(*) filter (split = 'train') as double) as value
+from stratified_split
+union all select 'test_size', cast(count(*) filter (split = 'test') as double) from stratified_split
+union all select 'n_features', 55.0::double
+union all select 'churn_rate', avg(label) from stratified_split"""
+# Every score must agree with what is told from it, and every feature must be ranked.
+CTES["score_agreement"] = """select customer_id, true prediction_agrees, true tier_agrees, true is_probability
+from dim_customer"""
+CTES["importance_names"] = f"select unnest([{', '.join(repr(c) for c in FEATURES)}]) feature"
+
 _SAME = {
     "ml_feature_store_stored": "ml_feature_store",
+    "seeds_to_feature_store": "ml_feature_store",
     "csv_seed_users": "raw_users",
+    "csv_seed_subscription_events": "raw_subscription_events",
+    "csv_seed_watch_events": "raw_watch_events",
+    "csv_seed_user_ratings": "raw_user_ratings",
+    "csv_seed_user_watchlist": "raw_user_watchlist",
     "csv_seed_support_tickets": "raw_support_tickets",
 }
 # Fitted models have no SQL counterpart.
@@ -471,6 +571,8 @@ _DECIMAL_COLUMNS = {
     "feat_support": ["max_resolution_hours", "min_sentiment_score"],
     "ml_feature_store": ["monthly_revenue", "min_sentiment_score"],
     "raw_users": ["monthly_revenue"],
+    "raw_subscription_events": ["monthly_revenue"],
+    "raw_watch_events": ["completion_percentage"],
     "raw_support_tickets": ["resolution_time_hours", "sentiment_score"],
     "user_title_summary": ["max_completion"],
     "popularity_share": ["popularity"],

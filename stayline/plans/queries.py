@@ -14,14 +14,12 @@ from pyspark.sql.types import DecimalType
 from stayline.operators import catalog, evaluate, features, matrix, model, ordered, quality, staging, titles
 from stayline.plans.checks import CHECKS, KINDS
 from stayline.plans.warehouse import MARTS, STAGING, Warehouse
-from stayline.schemas import CATALOG_SCHEMA
+from stayline.schemas import CATALOG_SCHEMA, RAW_SCHEMAS
 from stayline.session import cut_lineage, prepare, shared_dir
 from stayline.sources import pages, samples, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 LOADED_AT = datetime(2024, 6, 29, 6)
-# A short boosting run: the check looks at rows, the full setting is model.GBT_PARAMS.
-SHORT_RUN = {"maxIter": 5, "maxDepth": 3}
 
 
 def comparable(df: DataFrame) -> DataFrame:
@@ -83,6 +81,34 @@ def _csv_round_trip(name: str) -> Query:
     return query
 
 
+def _seeds_to_feature_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Seeds written as CSV, the catalogue as a table of the session catalog under its routed name, all read back, and every
+    mart stored under its own routed name on the way to the feature table."""
+    raw = samples.raw_tables(prepare(spark), sf_dir)
+    run = uuid.uuid4().hex
+    folder = f"{shared_dir(spark)}/seeds-{run}"
+    tables.write_seeds(raw, folder)
+    catalog_table = tables.routed_name("prod", "raw", "raw_content_catalog", f"stayline_{run}")
+    tables.refresh_catalog(raw["raw_content_catalog"], catalog_table, folder)
+    store = tables.table_store("prod", f"stayline_{run}", location=folder)
+    built = Warehouse(tables.read_raw(spark, folder, catalog_table), samples.AS_OF, store=store)
+    return comparable(built["ml_churn_feature_store"])
+
+
+def _viewing_by_calendar(w: Warehouse) -> DataFrame:
+    """Viewings and minutes by the attributes of their day."""
+    watched = w["stg_watch_events"].select(F.col("watch_date").alias("date_day"), "watch_duration_minutes")
+    return (
+        watched.groupBy("date_day")
+        .agg(F.count("*").alias("n"), F.sum("watch_duration_minutes").alias("minutes"))
+        .join(w["dim_date"], "date_day")
+        .groupBy(
+            "year", "fiscal_year", "quarter", "month", "month_name", "day_of_week_num", "day_of_week_name", "is_weekend"
+        )
+        .agg(F.sum("n").alias("n_viewings"), F.sum("minutes").cast("long").alias("minutes"))
+    )
+
+
 def _flattened(spark: SparkSession, sf_dir: str) -> DataFrame:
     return catalog.flatten_catalog(**pages.landed_pages(prepare(spark), sf_dir))
 
@@ -131,28 +157,59 @@ def _stored_features(w: Warehouse) -> DataFrame:
     return cut_lineage(w["ml_churn_feature_store"])
 
 
-def _train_metrics(w: Warehouse) -> DataFrame:
-    return model.train(w["ml_churn_feature_store"], cv_folds=0, **SHORT_RUN).metrics
+# One production fit takes hundreds of boosting rounds, so the model queries of a session share it: the feature table
+# stored and the model fitted, and the complete training run, by (application, folder).
+_FITTED: dict[tuple[str, str], tuple[DataFrame, model.ChurnModel]] = {}
+_RUNS: dict[tuple[str, str], model.TrainingRun] = {}
+
+
+def _fitted(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, model.ChurnModel]:
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _FITTED:
+        stored = _stored_features(warehouse(spark, sf_dir))
+        whole = matrix.stratified_split(matrix.feature_matrix(stored))
+        _FITTED[key] = stored, model.fit(whole.where("split = 'train'").drop("split"))
+    return _FITTED[key]
 
 
-def _cv(w: Warehouse) -> DataFrame:
-    whole = matrix.stratified_split(matrix.feature_matrix(_stored_features(w)))
-    scores = model.cross_validate(whole.where("split = 'train'").drop("split"), **SHORT_RUN)
-    return model.cv_summary(w.spark, scores)
+def _training_run(spark: SparkSession, sf_dir: str) -> model.TrainingRun:
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _RUNS:
+        stored, fitted = _fitted(spark, sf_dir)
+        _RUNS[key] = model.train(stored, fitted=fitted)
+    return _RUNS[key]
 
 
-def _fitted(stored: DataFrame) -> model.ChurnModel:
-    whole = matrix.stratified_split(matrix.feature_matrix(stored))
-    return model.fit(whole.where("split = 'train'").drop("split"), **SHORT_RUN)
+def _train_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _training_run(spark, sf_dir).metrics
 
 
-def _scored(w: Warehouse) -> DataFrame:
-    stored = _stored_features(w)
-    return model.score_customers(_fitted(stored), stored)
+def _cv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return model.cv_summary(spark, _training_run(spark, sf_dir).folds)
 
 
-def _importance(w: Warehouse) -> DataFrame:
-    return model.importance_ranking(w.spark, _fitted(_stored_features(w)))
+def _scored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stored, fitted = _fitted(spark, sf_dir)
+    return model.score_customers(fitted, stored)
+
+
+def _importance(spark: SparkSession, sf_dir: str, top: int | None = 15) -> DataFrame:
+    return model.importance_ranking(spark, _fitted(spark, sf_dir)[1], top)
+
+
+def _agreement(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether prediction and tier of every customer are what the emitted score says."""
+    score = F.col(evaluate.SCORE)
+    tier = F.expr(
+        f"case when {evaluate.SCORE} <= 0 then null when {evaluate.SCORE} <= 0.3 then 'low' "
+        f"when {evaluate.SCORE} <= 0.6 then 'medium' when {evaluate.SCORE} <= 1 then 'high' end"
+    )
+    return _scored(spark, sf_dir).select(
+        "customer_id",
+        (F.col("predicted") == F.floor(score + 0.5).cast("int")).alias("prediction_agrees"),
+        F.col("risk_tier").eqNullSafe(tier).alias("tier_agrees"),
+        score.between(0, 1).alias("is_probability"),
+    )
 
 
 WATCH_RECENT = features.FEATURE_GROUPS["recent_activity"]
@@ -160,8 +217,9 @@ WATCH = (*features.FEATURE_GROUPS["watch_behavior"], "short_session_count", "wat
 
 QUERIES: dict[str, Query] = {
     **{name: _table(name) for name in STAGING},
-    **{name: _table(name) for name in MARTS if name != "ml_churn_feature_store"},
-    "dim_date_source_week": _table("dim_date", week="source"),
+    **{name: _table(name) for name in MARTS if name not in ("dim_date", "ml_churn_feature_store")},
+    "calendar_viewing": lambda spark, sf_dir: _viewing_by_calendar(warehouse(spark, sf_dir)),
+    "calendar_viewing_source_week": lambda spark, sf_dir: _viewing_by_calendar(warehouse(spark, sf_dir, week="source")),
     "fct_watch_event_fraction_input": _fraction_input,
     "fct_watch_event_fraction_scaled": lambda spark, sf_dir: _fraction_input(spark, sf_dir, completion_scale=100),
     "feat_customer": _on(lambda w: features.customer_features(w["dim_customer"], w.as_of)),
@@ -173,8 +231,8 @@ QUERIES: dict[str, Query] = {
     "feat_watchlist": _on(lambda w: features.watchlist_features(w["stg_user_watchlist"], w["dim_customer"])),
     "ml_feature_store": _table("ml_churn_feature_store"),
     "ml_feature_store_stored": _stored_run,
-    "csv_seed_users": _csv_round_trip("raw_users"),
-    "csv_seed_support_tickets": _csv_round_trip("raw_support_tickets"),
+    **{f"csv_seed_{name.removeprefix('raw_')}": _csv_round_trip(name) for name in RAW_SCHEMAS},
+    "seeds_to_feature_store": _seeds_to_feature_store,
     "dq_not_null": _checks("not_null"),
     "dq_unique": _checks("unique"),
     "dq_accepted_values": _checks("accepted_values"),
@@ -205,7 +263,9 @@ QUERIES: dict[str, Query] = {
     "catalog_flatten": _flattened,
     "catalog_flatten_json": _json_round_trip,
     "catalog_genres": lambda spark, sf_dir: (
-        _flattened(spark, sf_dir).select("content_id", F.explode(F.split("genres", r"\|")).alias("genre"))
+        _flattened(spark, sf_dir)
+        .select("content_id", F.explode(F.split("genres", r"\|")).alias("genre"))
+        .where("genre <> ''")
     ),
     "catalog_latest_load": _on(lambda w: staging.latest_load(w["raw_content_catalog"])),
     "user_title_summary": _on(lambda w: titles.user_title_summary(w["stg_watch_events"])),
@@ -244,8 +304,11 @@ QUERIES: dict[str, Query] = {
     ),
     "risk_tier_distribution": _on(lambda w: evaluate.risk_tier_distribution(evaluate.with_tiers(_rule_scores(w)))),
     "top_risk_customers": _on(lambda w: evaluate.top_risk(evaluate.with_tiers(_rule_scores(w)))),
-    "train_gbt": _on(_train_metrics),
-    "cv_auc": _on(_cv),
-    "score_customers": _on(_scored),
-    "feature_importance": _on(_importance),
+    "training_facts": _on(lambda w: model.run_facts(matrix.stratified_split(_matrix(w)))),
+    "score_agreement": _agreement,
+    "importance_names": lambda spark, sf_dir: _importance(spark, sf_dir, top=None).select("feature"),
+    "train_gbt": _train_metrics,
+    "cv_auc": _cv,
+    "score_customers": _scored,
+    "feature_importance": _importance,
 }

@@ -127,21 +127,6 @@ from {{events}} join {{part}} on p_partkey = event_id % 200 where event_type = '
 """
 
 BASE_TABLES = ("nation", "customer", "part", "orders", "lineitem", "events")
-_EVENT_KEYS = {"lineitem": "l_orderkey", "events": "event_id"}
-
-
-def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A table; one whose files split into fewer tasks than there are cores is spread over all cores first.
-
-    The test files hold a single row group, which one task would otherwise carry through every map-side step. A table
-    of cluster size has more splits than cores and is left as it is.
-    """
-    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    if name in _EVENT_KEYS and df.rdd.getNumPartitions() < cores:
-        df = df.repartition(cores, _EVENT_KEYS[name])
-    return df
-
 
 class RawTables(Mapping):
     """The seven raw tables as lazy DataFrames over the parquet files of a folder, each set up when first asked for."""
@@ -153,7 +138,7 @@ class RawTables(Mapping):
 
     def _base_table(self, name: str) -> DataFrame:
         if name not in self._base:
-            self._base[name] = _read(self._spark, self._sf_dir, name)
+            self._base[name] = self._spark.read.parquet(f"{self._sf_dir}/{name}.parquet")
         return self._base[name]
 
     def __getitem__(self, name: str) -> DataFrame:

@@ -93,11 +93,13 @@ def routed_name(
     return ".".join(part for part in (where, schema, name) if part)
 
 
-def refresh_table(df: DataFrame, table: str) -> DataFrame:
-    """Full refresh: replace the table, creating its schema when needed, and read it back."""
+def refresh_table(df: DataFrame, table: str, location: str | None = None) -> DataFrame:
+    """Full refresh: replace the table, creating its schema when needed (in a folder of ``location``), and read it back."""
     spark = df.sparkSession
     if "." in table:
-        spark.sql(f"CREATE SCHEMA IF NOT EXISTS {table.rsplit('.', 1)[0]}")
+        schema = table.rsplit(".", 1)[0]
+        where = f" LOCATION '{location}/{schema}'" if location else ""
+        spark.sql(f"CREATE SCHEMA IF NOT EXISTS {schema}{where}")
     df.write.mode("overwrite").option("overwriteSchema", "true").saveAsTable(table)
     return spark.table(table)
 
@@ -107,16 +109,18 @@ def read_table(spark: SparkSession, table: str) -> DataFrame:
     return spark.table(table)
 
 
-def refresh_catalog(catalog: DataFrame, table: str) -> DataFrame:
+def refresh_catalog(catalog: DataFrame, table: str, location: str | None = None) -> DataFrame:
     """Full refresh of the raw catalogue, in its declared column order."""
-    return refresh_table(catalog.select(*CATALOG_SCHEMA.names), table)
+    return refresh_table(catalog.select(*CATALOG_SCHEMA.names), table, location)
 
 
-def table_store(target: str, default_schema: str, default_catalog: str | None = None):
+def table_store(
+    target: str, default_schema: str, default_catalog: str | None = None, location: str | None = None
+):
     """A store for the warehouse that keeps tables in the session catalog under their routed names."""
 
     def store(layer: str, name: str, df: DataFrame) -> DataFrame:
-        return refresh_table(df, routed_name(target, layer, name, default_schema, default_catalog))
+        return refresh_table(df, routed_name(target, layer, name, default_schema, default_catalog), location)
 
     return store
 
