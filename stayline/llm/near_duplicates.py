@@ -162,31 +162,33 @@ def _linked(left: list[np.ndarray], right: list[np.ndarray], similarity: Fractio
     return common * similarity.denominator >= similarity.numerator * union
 
 
-def _compare(ids: list[int], blocks: list[int], sets: list[np.ndarray], similarity: Fraction) -> list[tuple[int, int, int]]:
+def _compare(
+    low: int, high: int, ids: list[int], blocks: list[int], sets: list[np.ndarray], similarity: Fraction
+) -> list[tuple[int, int, int]]:
     """Of two blocks (or one with itself): id, number of links, smallest id that it reaches by links in here."""
     seen: dict[tuple[int, bytes], int] = {}
     for i, (x, s) in enumerate(zip(ids, sets, strict=True)):
         seen.setdefault((x, s.tobytes()), i)
     rows = list(seen.values())
-    first = min(blocks[i] for i in rows)
-    left = [i for i in rows if blocks[i] == first]
-    alone = all(blocks[i] == first for i in rows)
-    right = left if alone else [i for i in rows if blocks[i] != first]
+    alone = low == high
+    left, right = ([i for i in rows if blocks[i] == block] for block in (low, high))
+    if not left or not right:
+        return []
     links = _linked([sets[i] for i in left], [sets[i] for i in right], similarity)
     if alone:
         np.fill_diagonal(links, False)
     own, other = np.array([ids[i] for i in left]), np.array([ids[i] for i in right])
-    low, high = own.copy(), other.copy()
+    least_left, least_right = own.copy(), other.copy()
     none = np.iinfo(np.int64).max
     while True:
-        new_low = np.minimum(low, np.where(links, high[None, :], none).min(axis=1, initial=none))
-        new_high = np.minimum(high, np.where(links, new_low[:, None], none).min(axis=0, initial=none))
-        if (new_low == low).all() and (new_high == high).all():
+        new_left = np.minimum(least_left, np.where(links, least_right[None, :], none).min(axis=1, initial=none))
+        new_right = np.minimum(least_right, np.where(links, new_left[:, None], none).min(axis=0, initial=none))
+        if (new_left == least_left).all() and (new_right == least_right).all():
             break
-        low, high = (np.minimum(new_low, new_high),) * 2 if alone else (new_low, new_high)
-    out = list(zip(own.tolist(), links.sum(axis=1).tolist(), low.tolist(), strict=True))
+        least_left, least_right = (np.minimum(new_left, new_right),) * 2 if alone else (new_left, new_right)
+    out = list(zip(own.tolist(), links.sum(axis=1).tolist(), least_left.tolist(), strict=True))
     if not alone:
-        out += zip(other.tolist(), links.sum(axis=0).tolist(), high.tolist(), strict=True)
+        out += zip(other.tolist(), links.sum(axis=0).tolist(), least_right.tolist(), strict=True)
     return [x for x in out if x[1]]
 
 
@@ -212,16 +214,16 @@ def _verified(docs: DataFrame, members: DataFrame, similarity: Fraction, run: in
             rows = zip(*(batch.column(c).to_pylist() for c in (*keys, "class_id", "block", "text")), strict=True)
             for cluster, low, high, own, block, text in rows:
                 if (cluster, low, high) != at:
-                    if len(held[0]) > 1:
-                        found += _compare(*held, similarity)
+                    if at is not None:
+                        found += _compare(*at[1:], *held, similarity)
                     at, held = (cluster, low, high), ([], [], [])
                 for part, value in zip(held, (own, block, hasher.of(text)), strict=True):
                     part.append(value)
             if found:
                 yield result(found)
                 found = []
-        if len(held[0]) > 1:
-            found += _compare(*held, similarity)
+        if at is not None:
+            found += _compare(*at[1:], *held, similarity)
         yield result(found)
 
     return (
