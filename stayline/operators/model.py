@@ -71,7 +71,7 @@ def fit(train: DataFrame, medians: dict[str, float] | None = None, **params) ->
     )
     trees = GBTClassifier(
         featuresCol=_VECTOR, labelCol=LABEL, weightCol=_WEIGHT, **{**GBT_PARAMS, **params}
-    ).fit(weighted.repartitionByRange("customer_id").sortWithinPartitions("customer_id").select(_VECTOR, LABEL, _WEIGHT))
+    ).fit(weighted.repartition("customer_id").sortWithinPartitions("customer_id").select(_VECTOR, LABEL, _WEIGHT))
     return ChurnModel(trees, features, medians)
 
 

@@ -15,7 +15,7 @@ from stayline.operators import catalog, evaluate, features, matrix, model, order
 from stayline.plans.checks import CHECKS, KINDS
 from stayline.plans.warehouse import MARTS, STAGING, Warehouse
 from stayline.schemas import CATALOG_SCHEMA, RAW_SCHEMAS
-from stayline.session import cut_lineage, prepare, shared_dir
+from stayline.session import cut_lineage, prepare, scratch_path
 from stayline.sources import pages, samples, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -53,7 +53,7 @@ def _columns(compute: Callable[[Warehouse], DataFrame], *names: str) -> Query:
 
 def stored_warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
     """Each table a query touches is written once under the shared folder and read back."""
-    folder = f"{shared_dir(prepare(spark))}/run-{uuid.uuid4().hex}"
+    folder = scratch_path(prepare(spark), "run")
     return warehouse(spark, sf_dir, store=tables.parquet_store(folder))
 
 
@@ -74,7 +74,7 @@ def _stored_run(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _csv_round_trip(name: str) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         raw = samples.raw_tables(prepare(spark), sf_dir)
-        folder = f"{shared_dir(spark)}/csv-{uuid.uuid4().hex}"
+        folder = scratch_path(spark, "csv")
         tables.write_seeds(raw, folder)
         return comparable(tables.read_seeds(spark, folder)[name])
 
@@ -85,8 +85,7 @@ def _seeds_to_feature_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Seeds written as CSV, the catalogue as a table of the session catalog under its routed name, all read back, and every
     mart stored under its own routed name on the way to the feature table."""
     raw = samples.raw_tables(prepare(spark), sf_dir)
-    run = uuid.uuid4().hex
-    folder = f"{shared_dir(spark)}/seeds-{run}"
+    run, folder = uuid.uuid4().hex, scratch_path(spark, "seeds")
     tables.write_seeds(raw, folder)
     catalog_table = tables.routed_name("prod", "raw", "raw_content_catalog", f"stayline_{run}")
     tables.refresh_catalog(raw["raw_content_catalog"], catalog_table, folder)
@@ -116,7 +115,7 @@ def _flattened(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _json_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The pages written as JSON lines, read back with the declared schema, flattened and stamped."""
     landed = pages.landed_pages(prepare(spark), sf_dir)
-    folder = f"{shared_dir(spark)}/json-{uuid.uuid4().hex}"
+    folder = scratch_path(spark, "json")
     for name, df in landed.items():
         df.write.json(f"{folder}/{name}")
     read_back = catalog.flatten_catalog(

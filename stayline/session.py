@@ -47,11 +47,36 @@ def shared_dir(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+# Folders written so far, by application: what remove_intermediates takes away.
+_WRITTEN: dict[str, list[str]] = {}
+
+
+def scratch_path(spark: SparkSession, kind: str) -> str:
+    """A new path under the shared folder for something that is only needed until the caller has its results."""
+    path = f"{shared_dir(spark)}/{kind}-{uuid.uuid4().hex}"
+    _WRITTEN.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def remove_intermediates(spark: SparkSession) -> int:
+    """Delete what this application wrote under the shared folder, through the file system it lives in; the number of paths.
+
+    Frames that still read them stop working: call it when results are written elsewhere or collected.
+    """
+    context = spark.sparkContext
+    paths = _WRITTEN.pop(context.applicationId, [])
+    for name in paths:
+        path = context._jvm.org.apache.hadoop.fs.Path(name)
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+    return len(paths)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write the rows once to a parquet table in the shared folder and read them back.
 
-    What follows scans only the columns it needs, and a lost executor never replays the upstream plan.
+    What follows scans only the columns it needs, and a lost executor never replays the upstream plan. The table stays until
+    ``remove_intermediates``.
     """
-    path = f"{shared_dir(df.sparkSession)}/cut-{uuid.uuid4().hex}"
+    path = scratch_path(df.sparkSession, "cut")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

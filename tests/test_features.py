@@ -179,3 +179,12 @@ def test_the_stored_fact_is_read_by_column(spark, conf, tmp_path):
     assert len(scans) == 2
     assert set.union(*scans) & {"watch_event_key", "watch_event_id", "watch_start_time"} == set()
     assert set.intersection(*scans) == {"customer_key", "date_day"}
+
+
+def test_rows_without_a_customer_id_are_nobodys(spark):
+    people = spark.createDataFrame([("c1",), (None,)], "customer_id string")
+    known = people.withColumn("customer_key", surrogate_key("customer_id"))
+    ratings = spark.createDataFrame([("c1", 5), (None, 1)], "customer_id string, rating int")
+    listed = spark.createDataFrame([("c1", True), (None, True)], "customer_id string, is_watched boolean")
+    assert features.rating_features(ratings, known).count() == 1
+    assert features.watchlist_features(listed, known).count() == 1

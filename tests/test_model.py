@@ -63,6 +63,14 @@ def test_impute_scope_is_checked(feature_table):
 
 
 def test_fitting_twice_gives_the_same_scores(feature_table):
-    train_part = matrix.feature_matrix(feature_table).orderBy("customer_id").coalesce(1)
-    first, second = (model.fit(train_part, **SMALL).score(train_part).orderBy("customer_id").collect() for _ in range(2))
+    train_part = matrix.feature_matrix(feature_table)
+    layouts = train_part.coalesce(1), train_part.repartition(5)
+    first, second = (model.fit(rows, **SMALL).score(train_part).orderBy("customer_id").collect() for rows in layouts)
+    assert first == second
+
+
+def test_rows_without_a_label_teach_nothing(feature_table):
+    train_part = matrix.feature_matrix(feature_table)
+    more = train_part.union(train_part.limit(20).withColumn("label", F.lit(None).cast("int")))
+    first, second = (model.fit(rows, **SMALL).score(train_part).orderBy("customer_id").collect() for rows in (train_part, more))
     assert first == second

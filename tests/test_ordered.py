@@ -128,3 +128,17 @@ def test_class_weight(spark):
     row = matrix.class_weight(_people(spark, {0: 9, 1: 3})).first()
     assert (row.n_negative, row.n_positive, row.positive_weight) == (9, 3, 3.0)
     assert matrix.class_weight(_people(spark, {0: 9})).first().positive_weight is None
+
+
+def test_rows_without_a_label_belong_to_no_part(spark):
+    df = _people(spark, {0: 40, 1: 10}).union(spark.createDataFrame([("x", None), ("y", None)], "customer_id string, label int"))
+    assert Counter(r.split for r in matrix.stratified_split(df).collect()) == {"train": 40, "test": 10, None: 2}
+    assert Counter(r.fold for r in matrix.stratified_folds(df).collect())[None] == 2
+
+
+def test_median_of_a_million_different_values(spark):
+    df = spark.range(0, 1_000_001, 1, 8).select(((F.col("id") * 7919) % 1_000_003).cast("double").alias("v"))
+    values = sorted(i * 7919 % 1_000_003 for i in range(1_000_001))
+    result = ordered.exact_medians(df, ["v"])
+    assert result.collect()[0].median == values[500_000]
+    assert "SinglePartition" not in plan(result)
