@@ -86,19 +86,65 @@ def run_checks(tables: Mapping[str, DataFrame], checks: Mapping[str, Mapping], k
     """
     wanted = set(kinds)
     parts = []
+    keys: dict[str, list[tuple[str, str, str, str, str]]] = {}
     for name, declared in checks.items():
         not_null = declared.get("not_null", ()) if "not_null" in wanted else ()
         accepted = declared.get("accepted_values", {}) if "accepted_values" in wanted else {}
         if not_null or accepted:
             parts.append(column_checks(tables[name], name, not_null, accepted))
-        if "unique" in wanted and declared.get("unique"):
-            parts.append(unique_checks(tables[name], name, declared["unique"]))
+        if "unique" in wanted:
+            keys.setdefault(name, []).extend(("unique", name, c, "own", c) for c in declared.get("unique", ()))
         if "relationships" in wanted:
             for column, (parent, parent_column) in declared.get("relationships", {}).items():
-                parts.append(relationship_check(tables[name], name, column, tables[parent], parent_column))
+                keys.setdefault(name, []).append(("relationships", name, column, "own", column))
+                keys.setdefault(parent, []).append(("relationships", name, column, "parent", parent_column))
+    used = {name: entries for name, entries in keys.items() if entries}
+    if used:
+        parts.append(key_checks(tables, used))
     return with_status(union_all(parts))
 
 
+def key_checks(tables: Mapping[str, DataFrame], keys: Mapping[str, Sequence[tuple[str, str, str, str, str]]]) -> DataFrame:
+    """All uniqueness and relationship checks in one shuffle: one scan of each table turns its keys into rows.
+
+    ``keys`` lists for a table what its columns are needed for: (test, table and column of the check, whether as its own
+    or as the parent's key, the column here). Keys are counted map-side, so a frequent one is a single row by task; a value
+    is a failure when it is its own more than once (unique) or has no parent (relationships, by its number of rows).
+    """
+    names = ("test", "table_name", "column_name")
+    rows = union_all(
+        tables[name]
+        .select(
+            F.inline(
+                F.array(
+                    *[
+                        F.struct(
+                            *(F.lit(v).alias(n) for n, v in zip(names, check, strict=True)),
+                            F.lit(role == "parent").alias("is_parent"),
+                            F.col(column).cast("string").alias("value"),
+                        )
+                        for *check, role, column in entries
+                    ]
+                )
+            )
+        )
+        .where("value is not null")
+        for name, entries in keys.items()
+    )
+    own, parents = count_where(~F.col("is_parent")), count_where(F.col("is_parent"))
+    by_value = rows.groupBy(*names, "value").agg(own.alias("own"), parents.alias("parents"))
+    failed = F.when(F.col("test") == "unique", (F.col("own") > 1).cast("bigint")).otherwise(
+        F.when(F.col("parents") == 0, F.col("own")).otherwise(0)
+    )
+    found = by_value.groupBy(*names).agg(F.sum(failed).cast("bigint").alias("n_failed"))
+    declared = [F.struct(*(F.lit(v).alias(n) for n, v in zip(names, check, strict=True))) for check in sorted(
+        {tuple(check) for entries in keys.values() for *check, _, _ in entries}
+    )]
+    # A check whose column holds no value at all has no rows to be found in.
+    every = found.sparkSession.range(1).select(F.inline(F.array(*declared)))
+    return every.join(found, list(names), "left").select(*names, F.coalesce("n_failed", F.lit(0)).cast("bigint").alias("n_failed"))
+
+
 def source_freshness(
     df: DataFrame,
     table: str,

@@ -15,7 +15,7 @@ from stayline.operators import catalog, evaluate, features, matrix, model, order
 from stayline.plans.checks import CHECKS, KINDS
 from stayline.plans.warehouse import MARTS, STAGING, Warehouse
 from stayline.schemas import CATALOG_SCHEMA, RAW_SCHEMAS
-from stayline.session import cut_lineage, prepare, scratch_path
+from stayline.session import cut_lineage, prepare, run_key, scratch_path
 from stayline.sources import pages, samples, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -51,19 +51,20 @@ def _columns(compute: Callable[[Warehouse], DataFrame], *names: str) -> Query:
     return _on(lambda w: compute(w).select(*names))
 
 
-def stored_warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
-    """Each table a query touches is written once under the shared folder and read back."""
-    folder = scratch_path(prepare(spark), "run")
-    return warehouse(spark, sf_dir, store=tables.parquet_store(folder))
+_STORED: dict[tuple, Warehouse] = {}
 
 
-def _checks(*kinds: str) -> Query:
-    """One kind of check scans each table once."""
-    return _on(lambda w: quality.run_checks(w, CHECKS, kinds))
+def stored_warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
+    """Each table a query touches is written once under the shared folder and read back, by all queries of the session."""
+    key = run_key(spark, sf_dir)
+    if key not in _STORED:
+        folder = scratch_path(prepare(spark), "run")
+        _STORED[key] = warehouse(spark, sf_dir, store=tables.parquet_store(folder))
+    return _STORED[key]
 
 
 def _stored_checks(*kinds: str) -> Query:
-    """Several checks look at each table, so they run over stored tables, as in a daily rebuild."""
+    """Checks run over stored tables, as in a daily rebuild: each is scanned once for its columns and once for its keys."""
     return lambda spark, sf_dir: quality.run_checks(stored_warehouse(spark, sf_dir), CHECKS, kinds)
 
 
@@ -158,12 +159,12 @@ def _stored_features(w: Warehouse) -> DataFrame:
 
 # One production fit takes hundreds of boosting rounds, so the model queries of a session share it: the feature table
 # stored and the model fitted, and the complete training run, by (application, folder).
-_FITTED: dict[tuple[str, str], tuple[DataFrame, model.ChurnModel]] = {}
-_RUNS: dict[tuple[str, str], model.TrainingRun] = {}
+_FITTED: dict[tuple, tuple[DataFrame, model.ChurnModel]] = {}
+_RUNS: dict[tuple, model.TrainingRun] = {}
 
 
 def _fitted(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, model.ChurnModel]:
-    key = (spark.sparkContext.applicationId, sf_dir)
+    key = run_key(spark, sf_dir)
     if key not in _FITTED:
         stored = _stored_features(warehouse(spark, sf_dir))
         whole = matrix.stratified_split(matrix.feature_matrix(stored))
@@ -172,7 +173,7 @@ def _fitted(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, model.ChurnMod
 
 
 def _training_run(spark: SparkSession, sf_dir: str) -> model.TrainingRun:
-    key = (spark.sparkContext.applicationId, sf_dir)
+    key = run_key(spark, sf_dir)
     if key not in _RUNS:
         stored, fitted = _fitted(spark, sf_dir)
         _RUNS[key] = model.train(stored, fitted=fitted)
@@ -232,9 +233,9 @@ QUERIES: dict[str, Query] = {
     "ml_feature_store_stored": _stored_run,
     **{f"csv_seed_{name.removeprefix('raw_')}": _csv_round_trip(name) for name in RAW_SCHEMAS},
     "seeds_to_feature_store": _seeds_to_feature_store,
-    "dq_not_null": _checks("not_null"),
-    "dq_unique": _checks("unique"),
-    "dq_accepted_values": _checks("accepted_values"),
+    "dq_not_null": _stored_checks("not_null"),
+    "dq_unique": _stored_checks("unique"),
+    "dq_accepted_values": _stored_checks("accepted_values"),
     "dq_relationships": _stored_checks("relationships"),
     "dq_report": _stored_checks(*KINDS),
     "dq_relationships_staging": _on(

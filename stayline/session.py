@@ -49,6 +49,7 @@ def shared_dir(spark: SparkSession) -> str:
 
 # Folders written so far, by application: what remove_intermediates takes away.
 _WRITTEN: dict[str, list[str]] = {}
+_removals = 0
 
 
 def scratch_path(spark: SparkSession, kind: str) -> str:
@@ -63,6 +64,8 @@ def remove_intermediates(spark: SparkSession) -> int:
 
     Frames that still read them stop working: call it when results are written elsewhere or collected.
     """
+    global _removals
+    _removals += 1
     context = spark.sparkContext
     paths = _WRITTEN.pop(context.applicationId, [])
     for name in paths:
@@ -71,6 +74,11 @@ def remove_intermediates(spark: SparkSession) -> int:
     return len(paths)
 
 
+def run_key(spark: SparkSession, folder: str) -> tuple[str, int, str]:
+    """Names what has been stored for a folder in this application, until intermediates are removed."""
+    return spark.sparkContext.applicationId, _removals, folder
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write the rows once to a parquet table in the shared folder and read them back.
 
