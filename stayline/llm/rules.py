@@ -104,7 +104,7 @@ def measures(df: DataFrame, text: str = "text") -> DataFrame:
     lines = F.filter(F.split(body, "\n"), lambda x: F.translate(x, BLANKS, "") != "")
     # Capitals and symbols are few: one pass cuts the text down to them, and both counts look at what is left.
     marks = F.regexp_replace(body, "[^\\p{Lu}#*$%&|<>]+", "")
-    out = df.withColumns({"_words": words, "_lines": lines, "_marks": marks})
+    out = df.withColumns({"_words": words, "_lines": lines, "_marks": marks, ONCE: F.monotonically_increasing_id()})
     out = out.withColumns(
         {
             "n_words": F.size("_words").cast("long"),
@@ -130,6 +130,9 @@ def measures(df: DataFrame, text: str = "text") -> DataFrame:
     ).drop("_words", "_lines", "_marks", "_n_upper", "_n_marks", "_n_lines", "_stop")
 
 
+# Numbers the rows where the text is cut. A filter that names it is not moved below that place, where each measure it looks at
+# would cut the text again.
+ONCE = "_once"
 MEASURES = (
     "n_words word_chars n_symbols n_dup_lines n_repeat_words symbol_ratio upper_ratio mean_word_chars dup_line_ratio "
     "stop_shortfall"
@@ -138,6 +141,10 @@ MEASURES = (
 
 def apply_rules(df: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text") -> DataFrame:
     """One row per input row with the measures, ``base_failed``, ``failed_rules`` (names) and ``kept``."""
+    return _judged(df, rules, text).drop(ONCE)
+
+
+def _judged(df: DataFrame, rules: tuple[Rule, ...], text: str) -> DataFrame:
     base = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
     failed = F.array_compact(F.array(*(F.when(rule.violated(), F.lit(rule.name)) for rule in rules)))
     return (
@@ -149,5 +156,5 @@ def apply_rules(df: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "tex
 
 def passing(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text") -> DataFrame:
     """The rows that the rules keep, with the columns of the input."""
-    judged = docs.select(F.struct("*").alias("_doc"), F.col(text).alias("_text"))
-    return apply_rules(judged, rules, "_text").where("kept").select("_doc.*")
+    whole = docs.select(F.struct("*").alias("_doc"), F.col(text).alias("_text"))
+    return _judged(whole, rules, "_text").where(F.col("kept") & (F.col(ONCE) >= 0)).select("_doc.*")
