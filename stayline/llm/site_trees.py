@@ -26,6 +26,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stayline.session import cut_lineage
+
 MIN_PAGES = 10
 LEAST = 0.1
 CONTENT_WEIGHT = 0.9
@@ -274,7 +276,8 @@ def templates(nodes: DataFrame, least: float = LEAST, min_pages: int = MIN_PAGES
 
 def main_text(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
     """The columns of pages but the html, with ``text`` and ``n_chars``; own columns of these names are replaced."""
-    found = templates(importance(pages, url, html)).withColumnRenamed("host", "_host")
+    # Written, so that its size is known: a small list is broadcast, and otherwise the join can split the pages of a host.
+    found = cut_lineage(templates(importance(pages, url, html))).withColumnRenamed("host", "_host")
     kept = [c for c in pages.columns if c not in (html, "text", "n_chars")]
     own = F.struct(*kept).alias("_page") if kept else F.struct(F.lit(None).alias("_none")).alias("_page")
     joined = _with_host(pages, url).select("_host", own, F.col(html).alias("_html")).join(found, "_host", "left")
