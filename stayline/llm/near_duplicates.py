@@ -242,7 +242,8 @@ def join(
     group_id (smallest id that links lead to)."""
     depth = matched_depth(float(similarity), trees, target_recall)
     rows = cut_lineage(sketches(docs, trees, depth, run))
-    ids = rows.groupBy("digest").agg(F.min("doc_id").alias("class_id"))
+    # Written, so that the join below has a shuffle of its own, in which the copies of one text can be split.
+    ids = cut_lineage(rows.groupBy("digest").agg(F.min("doc_id").alias("class_id")))
     # One row of each class carries its signature: the row of its smallest id.
     named = cut_lineage(rows.join(ids, "digest").select("doc_id", "class_id", "n_runs", "tags"))
     classes = named.where("doc_id = class_id and n_runs > 0").dropDuplicates(["class_id", "n_runs", "tags"])
