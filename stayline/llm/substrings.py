@@ -153,7 +153,8 @@ def _repeats(numbered: DataFrame, min_words: int, radius: int, longest: int) ->
     placed = rows.select("_row", F.posexplode(F.arrays_zip("high", "low")).alias("place", "d")).select(
         "_row", "place", "d.high", "d.low"
     )
-    shared = (
+    # Written, so that the join below has a shuffle of its own, in which a frequent chunk can be split.
+    shared = cut_lineage(
         placed.groupBy("high", "low")
         .agg(F.min("_row").alias("first"), F.max("_row").alias("last"))
         .where("first < last")
