@@ -1,6 +1,6 @@
 """Encoding and decoding with a byte-level pair vocabulary, over a minimal acyclic transducer of frequent words.
 
-Texts are cut into pre-tokens by the vocabulary's own pattern. A count over the whole corpus gives the frequent pre-tokens;
+Texts are cut into pre-tokens by the vocabulary's own pattern, each distinct piece between blanks once in a task. A count over the whole corpus gives the frequent pre-tokens;
 their ids are compiled into an automaton (``lexicon``) of a stated size, kept in the shared folder, fetched once by each
 executor and mapped into memory. Words outside the automaton are merged exactly (``ragged``), so its size changes the speed
 and never a result.
@@ -11,6 +11,7 @@ special id, as the tokenizer's default has it; very long texts are whole; repeat
 
 from __future__ import annotations
 
+import itertools
 import json
 import uuid
 from collections import Counter
@@ -19,19 +20,20 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stayline.llm import ragged
 from stayline.llm.lexicon import Lexicon
-from stayline.llm.token_counts import slices
+from stayline.llm.token_counts import slices, small_batches
 from stayline.session import shared_dir
 
 # Words of the lexicon; the rest of the corpus is merged.
 LEXICON_WORDS = 40_000
 # Distinct words a task holds while it counts, or remembers while it encodes.
-HELD_WORDS = 200_000
+HELD_WORDS = 100_000
 # Fixed value: the cut of a byte-level vocabulary, with blanks as Unicode has them.
 PATTERN = (
     r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+"
@@ -39,6 +41,9 @@ PATTERN = (
 )
 
 
+MARKS = frozenset(".,;:!?|")
+
+
 @dataclass
 class Vocabulary:
     """The vocabulary as arrays; its size bounds what is broadcast."""
@@ -82,20 +87,48 @@ class Vocabulary:
         marks = tuple(self.special)
 
         def of(text: str) -> list[str]:
-            if not any(m in text for m in marks):
+            for mark in marks:
+                if mark in text:
+                    break
+            else:
                 return find(text)
             return [t for part in cut.split(text) if part for t in ([part] if part in self.special else find(part))]
 
         return of
 
-    def merged(self, words: list[bytes]) -> list[list[int]]:
-        """The ids of each word, none of them empty, by merging."""
+    def spelled_arrays(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The bytes of all ids in one array, with the first byte and the length of each."""
+        sizes = np.fromiter(map(len, self.spelled), np.int64, len(self.spelled))
+        return np.frombuffer(b"".join(self.spelled), np.uint8), np.cumsum(sizes) - sizes, sizes
+
+    def merged(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all words, none of them empty, one word after the other by merging, and how many each has."""
         if not words:
-            return []
+            return np.empty(0, np.int32), np.empty(0, np.int64)
         flat = self.of_byte[np.frombuffer(b"".join(words), np.uint8)]
-        ids, sizes = ragged.merge(flat, np.fromiter(map(len, words), np.int64, len(words)), self.table)
-        ends, flat_ids = np.cumsum(sizes).tolist(), ids.tolist()
-        return [flat_ids[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)]
+        return ragged.merge(flat, np.fromiter(map(len, words), np.int64, len(words)), self.table)
+
+
+def gathered(flat: np.ndarray, first: np.ndarray, sizes: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The parts that the codes name, one after the other, and the end of each."""
+    own = sizes[codes]
+    ends = np.cumsum(own)
+    places = np.repeat(first[codes] - (ends - own), own)
+    places += np.arange(len(places))
+    return flat[places], ends
+
+
+def pieces(text: str) -> list[str]:
+    """The text cut before blanks and around line ends. Where ``is_plain`` holds for all pieces, the pre-tokens of the text
+    are those of its pieces, one after the other: no pre-token reaches over such a place."""
+    out = text.replace(" ", "\1 ").replace("\n", "\1\n\1").split("\1")
+    return out[out[0] == "" : len(out) - (len(out) > 1 and out[-1] == "")]
+
+
+def is_plain(piece: str) -> bool:
+    """Whether no other white space stands next to the cuts of a piece."""
+    core = piece[1:] if piece[:1] == " " else piece
+    return piece == "\n" or core != "" and not core[0].isspace() and not core[-1].isspace()
 
 
 def frequent_words(df: DataFrame, vocabulary: Vocabulary, limit: int, text: str = "text") -> list[str]:
@@ -104,28 +137,41 @@ def frequent_words(df: DataFrame, vocabulary: Vocabulary, limit: int, text: str
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cut, seen = shared.value.pre_tokens(), Counter()
+        checked: set[str] = set()
+        odd: set[str] = set()
 
         def flush() -> pa.RecordBatch:
-            out = pa.RecordBatch.from_pydict(
-                {"word": pa.array(seen.keys(), pa.string()), "n": pa.array(seen.values(), pa.int64())}
-            )
+            words = Counter()
+            for piece, n in seen.items():
+                for word in cut(piece):
+                    words[word] += n
             seen.clear()
-            return out
+            checked.clear()
+            return pa.RecordBatch.from_pydict(
+                {"word": pa.array(words.keys(), pa.string()), "n": pa.array(words.values(), pa.int64())}
+            )
 
         for batch in batches:
             for body in batch.column(0):
-                seen.update(cut(body.as_py() or ""))
+                whole = body.as_py() or ""
+                own = pieces(whole)
+                new = set(own) - checked
+                checked.update(new)
+                odd.update(piece for piece in new if not is_plain(piece))
+                seen.update(own if odd.isdisjoint(own) else cut(whole))
                 if len(seen) > HELD_WORDS:
                     yield flush()
         yield flush()
 
-    counts = df.select(text).mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    counts = small_batches(df).select(text).mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
     return [r["word"] for r in counts.orderBy(F.desc("n"), "word").limit(limit).collect()]
 
 
 def compiled(vocabulary: Vocabulary, words: list[str]) -> Lexicon:
     raw = [w.encode("utf-8", "surrogatepass") for w in words if w not in vocabulary.special]
-    return Lexicon.build(dict(zip(raw, vocabulary.merged(raw), strict=True)))
+    ids, sizes = vocabulary.merged(raw)
+    ends = np.cumsum(sizes).tolist()
+    return Lexicon.build({w: ids[a:b].tolist() for w, (a, b) in zip(raw, itertools.pairwise([0, *ends]), strict=True)})
 
 
 def publish(spark: SparkSession, lexicon: Lexicon) -> str:
@@ -140,6 +186,73 @@ def publish(spark: SparkSession, lexicon: Lexicon) -> str:
     return name
 
 
+class Encoder:
+    """Encodes slices of texts in a task. Ids of the pieces seen so far are held in flat arrays, bounded by HELD_WORDS."""
+
+    def __init__(self, vocabulary: Vocabulary, lexicon: Lexicon) -> None:
+        self.vocabulary, self.lexicon, self.cut = vocabulary, lexicon, vocabulary.pre_tokens()
+        self._forget()
+
+    def _forget(self) -> None:
+        self.number: dict[str, int] = {}
+        self.odd: set[str] = set()
+        self.flat, self.sizes = np.empty(0, np.int32), np.empty(0, np.int64)
+
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, one after the other, and where each text's ids end."""
+        if len(self.number) > HELD_WORDS:
+            self._forget()
+        cuts = [pieces(text) if text else [] for text in texts]
+        self._learn(set().union(*cuts).difference(self.number))
+        if self.odd:
+            odd = [i for i, own in enumerate(cuts) if not self.odd.isdisjoint(own)]
+            for i in odd:
+                cuts[i] = self.cut(texts[i])
+            self._learn(set().union(*(cuts[i] for i in odd)).difference(self.number))
+        codes = np.fromiter(map(self.number.__getitem__, itertools.chain.from_iterable(cuts)), np.int64)
+        ids, ends = gathered(self.flat, np.cumsum(self.sizes) - self.sizes, self.sizes, codes)
+        return ids, np.append(0, ends)[np.cumsum([len(own) for own in cuts])]
+
+    def _learn(self, new: set[str]) -> None:
+        own, parts = list(new), []
+        for piece in own:
+            core = piece[1:] if piece[:1] == " " else piece
+            # Most pieces are letters, perhaps with a mark behind them: their pre-tokens are plain to see.
+            if core.isalpha():
+                parts.append((piece,))
+            elif core[-1:] in MARKS and core[:-1].isalpha():
+                parts.append((piece[:-1], piece[-1]))
+            else:
+                parts.append(self.cut(piece))
+                if not is_plain(piece):
+                    self.odd.add(piece)
+        number: dict[str, int] = {}
+        codes = np.fromiter((number.setdefault(w, len(number)) for w in itertools.chain.from_iterable(parts)), np.int64)
+        flat, first, sizes = self._ids(list(number))
+        ids, ends = gathered(flat, first, sizes, codes)
+        bounds = np.append(0, ends)[np.cumsum([0, *map(len, parts)])]
+        self.number.update(zip(own, range(len(self.number), len(self.number) + len(own)), strict=True))
+        self.sizes = np.concatenate((self.sizes, np.diff(bounds)))
+        self.flat = np.concatenate((self.flat, ids))
+
+    def _ids(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of words in one array, with the first place and the number of each: special ones, those that the automaton
+        has, and the rest by merging."""
+        special = np.fromiter((self.vocabulary.special.get(w, -1) for w in words), np.int64, len(words))
+        raw = [word.encode("utf-8", "surrogatepass") for word in words]
+        found = np.where(special < 0, self.lexicon.find(raw), -1)
+        known = np.flatnonzero(found >= 0)
+        unseen = np.flatnonzero((found < 0) & (special < 0))
+        merged, merged_sizes = self.vocabulary.merged([raw[i] for i in unseen.tolist()])
+        ends = self.lexicon.id_ends
+        flat = np.concatenate((self.lexicon.ids, merged, np.maximum(special, 0).astype(np.int32)))
+        first, sizes = len(flat) - len(words) + np.arange(len(words)), np.ones(len(words), np.int64)
+        first[known], sizes[known] = ends[found[known]], ends[found[known] + 1] - ends[found[known]]
+        first[unseen] = len(self.lexicon.ids) + np.cumsum(merged_sizes) - merged_sizes
+        sizes[unseen] = merged_sizes
+        return flat, first, sizes
+
+
 def encode(
     df: DataFrame, vocabulary_path: str, text: str = "text", ids: str = "ids", lexicon_words: int = LEXICON_WORDS
 ) -> DataFrame:
@@ -151,49 +264,40 @@ def encode(
     kept = [c for c in df.columns if c not in (text, ids)]
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, lexicon = shared.value, Lexicon.mapped(SparkFiles.get(name))
-        cut, known = own.pre_tokens(), {}
-
-        def learn(words: list[str]) -> None:
-            raw = [w.encode("utf-8", "surrogatepass") for w in words]
-            found = lexicon.find(raw)
-            for i in np.flatnonzero(found >= 0).tolist():
-                known[words[i]] = lexicon.ids_of(found[i])
-            unseen = np.flatnonzero(found < 0).tolist()
-            known.update(zip([words[i] for i in unseen], own.merged([raw[i] for i in unseen]), strict=True))
-
+        coder = Encoder(shared.value, Lexicon.mapped(SparkFiles.get(name)))
         for batch in batches:
-            out = []
+            at = 0
             for texts in slices(batch.column(text).to_pylist()):
-                tokens = [cut(body) for body in texts]
-                if len(known) > HELD_WORDS:
-                    known.clear()
-                known.update({word: [i] for word, i in own.special.items()})
-                learn(list(set().union(*tokens).difference(known)))
-                for words in tokens:
-                    out.append(np.array([i for w in words for i in known[w]], np.int32))
-            offsets = np.concatenate(([0], np.cumsum([len(x) for x in out]))).astype(np.int32)
-            flat = np.concatenate(out) if out else np.empty(0, np.int32)
-            column = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
-            yield pa.RecordBatch.from_pydict({c: batch.column(c) for c in kept} | {ids: column})
+                own, stops = coder.encode(texts)
+                column = pa.ListArray.from_arrays(pa.array(np.append(0, stops), pa.int32()), pa.array(own, pa.int32()))
+                part = batch.slice(at, len(texts))
+                yield pa.RecordBatch.from_pydict({c: part.column(c) for c in kept} | {ids: column})
+                at += len(texts)
 
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema if f.name in kept]
-    return df.mapInArrow(encoded, ", ".join([*fields, f"`{ids}` array<int>"]))
+    return small_batches(df).mapInArrow(encoded, ", ".join([*fields, f"`{ids}` array<int>"]))
 
 
 def decode(df: DataFrame, vocabulary_path: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
     """The columns of df with the text that the ids spell; bytes that are not UTF-8 become replacement characters."""
-    shared = df.sparkSession.sparkContext.broadcast(Vocabulary.load(vocabulary_path).spelled)
+    shared = df.sparkSession.sparkContext.broadcast(Vocabulary.load(vocabulary_path).spelled_arrays())
     kept = [c for c in df.columns if c != text]
 
     def decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        spell = shared.value.__getitem__
+        flat, first, sizes = shared.value
         for batch in batches:
-            out = [b"".join(map(spell, row.as_py() or ())).decode("utf-8", "replace") for row in batch.column(ids)]
+            out, column = [], batch.column(ids)
+            for at in range(0, len(column), 256):
+                part = column.slice(at, 256)
+                codes = part.flatten().to_numpy()
+                raw, ends = gathered(flat, first, sizes, codes)
+                counts = np.cumsum(pc.fill_null(pc.list_value_length(part), 0).to_numpy())
+                stops, text_bytes = np.append(0, ends)[counts].tolist(), raw.tobytes()
+                out += [text_bytes[a:b].decode("utf-8", "replace") for a, b in itertools.pairwise([0, *stops])]
             yield pa.RecordBatch.from_pydict({c: batch.column(c) for c in kept} | {text: pa.array(out, pa.string())})
 
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema if f.name in kept]
-    return df.mapInArrow(decoded, ", ".join([*fields, f"`{text}` string"]))
+    return small_batches(df).mapInArrow(decoded, ", ".join([*fields, f"`{text}` string"]))
 
 
 def digest(df: DataFrame, key: str = "doc_id") -> DataFrame:

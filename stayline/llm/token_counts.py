@@ -82,6 +82,16 @@ class Pieces:
         return np.add.reduceat(self.weight[symbols], np.cumsum(sizes) - sizes).tolist()
 
 
+# Texts may be long, so what travels between the engine and a task at one time is few rows.
+BATCH_ROWS = 1000
+
+
+def small_batches(df: DataFrame) -> DataFrame:
+    """Sets the session's batch size for its Arrow functions; the rows are the same."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    return df
+
+
 def slices(texts: list[str | None], size: int = SLICE_CHARS) -> Iterator[list[str]]:
     held, n = [], 0
     for text in texts:
