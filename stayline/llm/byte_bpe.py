@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from stayline.llm import ragged
 from stayline.llm.lexicon import Lexicon
 from stayline.llm.token_counts import slices, small_batches
-from stayline.session import shared_dir
+from stayline.session import cut_lineage, shared_dir
 
 # Words of the lexicon; the rest of the corpus is merged.
 LEXICON_WORDS = 40_000
@@ -132,7 +132,10 @@ def is_plain(piece: str) -> bool:
 
 
 def frequent_words(df: DataFrame, vocabulary: Vocabulary, limit: int, text: str = "text") -> list[str]:
-    """The ``limit`` most frequent pre-tokens of all rows; ties go by the word."""
+    """Pre-tokens of all rows from a count on: the lowest at which they are at most ``limit``.
+
+    Counts are grouped on a logarithmic scale of eight steps an octave, so that a few hundred numbers find that count, and only
+    words of the lexicon reach the driver."""
     shared = df.sparkSession.sparkContext.broadcast(vocabulary)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -164,7 +167,15 @@ def frequent_words(df: DataFrame, vocabulary: Vocabulary, limit: int, text: str
         yield flush()
 
     counts = small_batches(df).select(text).mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    return [r["word"] for r in counts.orderBy(F.desc("n"), "word").limit(limit).collect()]
+    counted = cut_lineage(counts.withColumn("step", F.floor(F.log2(F.col("n").cast("double")) * 8)))
+    taken, least = 0, None
+    for row in sorted(counted.groupBy("step").count().collect(), key=lambda r: -r["step"]):
+        if taken + row["count"] > limit:
+            break
+        taken, least = taken + row["count"], row["step"]
+    if least is None:
+        return []
+    return sorted(r["word"] for r in counted.where(F.col("step") >= least).select("word").collect())
 
 
 def compiled(vocabulary: Vocabulary, words: list[str]) -> Lexicon:
