@@ -59,6 +59,28 @@ def test_ids_and_texts_are_those_of_the_library_whatever_the_lexicon_holds(rows)
         assert (by_id[9000]["n_tokens"], by_id[9000]["decoded_sha256"]) == (0, hashed(""))
 
 
+def test_texts_that_hold_the_cut_mark_are_whole(spark):
+    from tokenizers import Tokenizer
+
+    library, rng = Tokenizer.from_file(BYTES), random.Random(12)
+    own = ["".join(rng.choice([*"ab \n\t\1\2.é", "the ", "\1\1"]) for _ in range(rng.randint(1, 40))) for _ in range(300)]
+    own += ["\1", "a\1b", " \1", "\1 ", "\n\1\n", "a b", "\1<|endoftext|>\1"]
+    assert all("".join(byte_bpe.pieces(text)) == text for text in own)
+    # The mark stands for any letter: the cuts are those of a text without it.
+    assert all(byte_bpe.pieces(t) == [p.replace("z", "\1") for p in byte_bpe.pieces(t.replace("\1", "z"))] for t in own)
+    df = spark.createDataFrame(list(enumerate(own)), "doc_id long, text string")
+    for size in (0, 50):
+        got = byte_bpe.decode(byte_bpe.encode(df.withColumn("kept", df["text"]), BYTES, lexicon_words=size), BYTES).collect()
+        assert len(got) == len(own)
+        for r in got:
+            assert r["decoded"] == r["kept"]
+            assert r["ids"] == library.encode(r["kept"], add_special_tokens=False).ids, repr(r["kept"])
+    # Counted as the words that they are.
+    vocabulary = byte_bpe.Vocabulary.load(BYTES)
+    few = spark.createDataFrame([(0, "a\1b"), (1, "\1")], "doc_id long, text string")
+    assert byte_bpe.frequent_words(few, vocabulary, 10) == ["\1", "a", "b"]
+
+
 def test_empty_table(spark):
     df = documents(spark, []).select("doc_id", "text")
     assert token_counts.token_counts(df, PIECES).count() == 0
