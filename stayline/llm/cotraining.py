@@ -3,7 +3,8 @@
 The content view sees the text only: pairs of character classes and a few shares of its words. The metadata view sees language,
 source and length. Each view is a logistic regression, calibrated on held-out labels. In every round each view labels the
 documents it is sure of, and the other view learns from them besides the labelled ones; the labelled documents themselves stay
-as they are. At the end a third regression on the held-out labels weighs the calibrated views, and all documents get a score.
+as they are. A view is sure of a document by its probability, or as the document is among the outer ones of the view's own
+scores, as many good and bad ones as the labels have: so a weak view, whose probabilities stay near the base rate, teaches too. At the end a third regression on the held-out labels weighs the calibrated views, and all documents get a score.
 
 Labelled rows are bounded by ``max_labelled`` (chosen by a hash of the id). Pseudo-labels are bounded by nothing: every document
 that a view is sure of takes part. Texts are read once; their features, some seventy numbers a document, are written.
@@ -30,6 +31,8 @@ from stayline.session import cut_lineage
 MAX_LABELLED = 20_000
 ROUNDS = 2
 SURE = 0.95
+# Share of the unlabelled documents that each view labels by rank, good and bad ones together.
+OUTER = 0.05
 KEEP = 0.5
 CLASSES = 8
 META_SLOTS = 32
@@ -135,10 +138,32 @@ def labelled_rows(rows: DataFrame, labels: DataFrame, limit: int) -> DataFrame:
     return chosen.withColumn("held_out", F.pmod(F.xxhash64("doc_id", F.lit("held out")), F.lit(4)) == 0)
 
 
+def pseudo_labels(free: DataFrame, views: list[View], good: float, sure: float = SURE, outer: float = OUTER) -> list[DataFrame]:
+    """Per view the rows of ``free`` that it is sure of, with its ``label``; ``good`` is the share of good labels. Equal scores
+    are taken together, and a view whose scores are all equal has no outer ones."""
+    scores = free.select(*(view.probability.alias(view.name) for view in views))
+    ends = scores.approxQuantile([view.name for view in views], [outer * (1 - good), 1 - outer * good], 1e-3)
+    out = []
+    for view, cuts in zip(views, ends, strict=True):
+        p, (low, high) = F.col("_p"), cuts or (0.0, 1.0)
+        is_good = (p >= sure) | (p >= high) & (p > low)
+        is_bad = (p <= 1 - sure) | (p <= low) & (p < high)
+        # Where the two rules differ, the probability is heard first.
+        label = F.when(p >= sure, 1).when(p <= 1 - sure, 0).otherwise(is_good.cast("int"))
+        out.append(free.withColumn("_p", view.probability).where(is_good | is_bad).withColumn("label", label).drop("_p"))
+    return out
+
+
 def scored(
-    docs: DataFrame, labels: DataFrame, rounds: int = ROUNDS, sure: float = SURE, max_labelled: int = MAX_LABELLED
+    docs: DataFrame,
+    labels: DataFrame,
+    rounds: int = ROUNDS,
+    sure: float = SURE,
+    max_labelled: int = MAX_LABELLED,
+    report: list[dict] | None = None,
 ) -> DataFrame:
-    """Per row of docs: doc_id, p_content, p_meta, score and keep."""
+    """Per row of docs: doc_id, p_content, p_meta, score and keep. A ``report`` gets the numbers of pseudo-labels: round, view
+    that gave them, label, n."""
     rows = cut_lineage(features(docs))
     labelled = cut_lineage(labelled_rows(rows, labels, max_labelled))
     counts = {(r["held_out"], r["label"]): r["count"] for r in labelled.groupBy("held_out", "label").count().collect()}
@@ -151,14 +176,14 @@ def scored(
     train, held_out = labelled.where("not held_out").drop("held_out"), labelled.where("held_out").drop("held_out")
     free = rows.join(labelled.select("doc_id"), "doc_id", "left_anti") if rounds else rows
     content, meta = View.fit("content", train, held_out), View.fit("meta", train, held_out)
-    for _ in range(rounds):
+    good = sum(n for (_, label), n in counts.items() if label) / sum(counts.values())
+    for i in range(rounds):
         # What one view is sure of teaches the other.
-        taught = [
-            free.where((view.probability >= sure) | (view.probability <= 1 - sure))
-            .withColumn("label", (view.probability >= sure).cast("int"))
-            .select(*train.columns)
-            for view in (meta, content)
-        ]
+        taught = [more.select(*train.columns) for more in pseudo_labels(free, [meta, content], good, sure)]
+        if report is not None:
+            for view, more in zip((meta, content), taught, strict=True):
+                found = more.groupBy("label").count().collect()
+                report += [{"round": i + 1, "view": view.name, "label": r["label"], "n": r["count"]} for r in found]
         content, meta = (
             View.fit(name, train.unionByName(more), held_out) for name, more in zip(("content", "meta"), taught, strict=True)
         )

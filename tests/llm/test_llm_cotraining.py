@@ -33,3 +33,28 @@ def test_labelled_rows_are_bounded_and_ties_go_up(spark):
     labels = spark.createDataFrame([(i, q, 0) for i in range(40) for q in (0, 1)], "doc_id long, quality int, toxic int")
     rows = cotraining.labelled_rows(cotraining.features(docs), labels, limit=15)
     assert rows.count() == 15 and {r["label"] for r in rows.collect()} == {1}
+
+
+def test_both_views_teach_in_every_round(spark):
+    docs, labels = (spark.read.parquet(f"{SF_DIR}/{name}.parquet") for name in ("documents", "labels"))
+    report = []
+    cotraining.scored(docs, labels.where("doc_id % 3 <> 0"), report=report)
+    given = {(r["round"], r["view"], r["label"]): r["n"] for r in report}
+    assert set(given) == {(i, view, label) for i in (1, 2) for view in ("content", "meta") for label in (0, 1)}
+    assert min(given.values()) > 0
+
+
+def test_pseudo_labels_go_by_probability_and_by_rank(spark):
+    from pyspark.sql import Row
+
+    view = lambda name: cotraining.View(name, F.col(name), 1.0, 0.0)
+    # The first view is sure of all but one row; the second stays near a half; the third tells nothing apart.
+    free = spark.createDataFrame([Row(doc_id=i, a=9.0 if i else 0.0, b=i / 1000, c=0.0) for i in range(100)])
+    a, b, c = cotraining.pseudo_labels(free, [view("a"), view("b"), view("c")], good=0.8, outer=0.1)
+    labels = lambda df: {r["doc_id"]: r["label"] for r in df.collect()}
+    assert labels(a) == {0: 0} | {i: 1 for i in range(1, 100)}
+    got = labels(b)
+    assert set(got.values()) == {0, 1} and abs(sum(got.values()) - 8) <= 1 and abs(len(got) - 10) <= 2
+    assert max(i for i in got if not got[i]) < 5 and min(i for i in got if got[i]) > 85
+    assert labels(c) == {}
+    assert [df.count() for df in cotraining.pseudo_labels(free.limit(0), [view("a"), view("b")], good=0.8)] == [0, 0]
