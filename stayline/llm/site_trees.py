@@ -7,8 +7,9 @@ node's importance. A branch whose importance is under ``least`` of the host's ow
 from each page. Elements that declare themselves as furniture (menus, headers, footers, sidebars, forms, adverts, notices,
 comments, scripts, hidden parts) have importance 0 from the start, and where a page declares its article, only that is read.
 
-Hosts with fewer than ``MIN_PAGES`` pages of a node have no statistics to go by: there only the declarations count. A node must
-be on one page in twenty of its host to be a template, so the template list of a host is bounded by the nodes of twenty pages.
+Hosts with fewer than ``MIN_PAGES`` pages of a node have no statistics to go by: there only the declarations count. What share
+of its host's pages has a node does not matter. Up to ``LISTED`` templates of a host travel as one list with its pages; of a host
+with more, each page is given only those among its own nodes, with the same result.
 
 Defined cases: null or empty html and pages without text give the empty text; a null url is a host of its own; unclosed,
 misnested or cut-off markup is read as far as it goes; white space of any kind inside a block, line breaks included, is one
@@ -29,6 +30,7 @@ from pyspark.sql import functions as F
 from stayline.session import cut_lineage
 
 MIN_PAGES = 10
+LISTED = 1000
 LEAST = 0.1
 CONTENT_WEIGHT = 0.9
 ROOT = 0
@@ -265,22 +267,52 @@ def importance(pages: DataFrame, url: str = "url", html: str = "html") -> DataFr
 
 
 def templates(nodes: DataFrame, least: float = LEAST, min_pages: int = MIN_PAGES) -> DataFrame:
-    """(host, nodes): the branches of low importance of every host that has any."""
-    root = nodes.where(F.col("node") == ROOT).select(
-        "host", F.col("n_pages").alias("host_pages"), F.col("importance").alias("host_importance")
+    """(host, node): the branches of low importance of every host."""
+    root = nodes.where(F.col("node") == ROOT).select("host", F.col("importance").alias("host_importance"))
+    low = (F.col("n_pages") >= min_pages) & (F.col("importance") < least * F.col("host_importance"))
+    return nodes.join(root, "host").where(low).select("host", "node")
+
+
+def _of_pages(pages: DataFrame, low: DataFrame) -> DataFrame:
+    """(_host, _key, _templates): the templates among each page's own nodes, of pages (_host, _key, _html)."""
+
+    def nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own = [[key for key, _, _ in Page(page.as_py()).nodes()] for page in batch.column("_html")]
+            yield pa.RecordBatch.from_pydict(
+                {"_host": batch.column("_host"), "_key": batch.column("_key"), "nodes": pa.array(own, pa.list_(pa.int64()))}
+            )
+
+    seen = pages.select("_host", "_key", "_html").mapInArrow(nodes, "_host string, _key string, nodes array<long>")
+    return (
+        seen.select("_host", "_key", F.explode("nodes").alias("node"))
+        .join(low.withColumnRenamed("host", "_host"), ["_host", "node"])
+        .groupBy("_host", "_key")
+        .agg(F.collect_set("node").alias("_templates"))
     )
-    low = (F.col("n_pages") >= min_pages) & (F.col("n_pages") * 20 >= F.col("host_pages"))
-    low = low & (F.col("importance") < least * F.col("host_importance"))
-    return nodes.join(root, "host").where(low).groupBy("host").agg(F.collect_list("node").alias("_templates"))
 
 
-def main_text(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
+def main_text(pages: DataFrame, url: str = "url", html: str = "html", listed: int = LISTED) -> DataFrame:
     """The columns of pages but the html, with ``text`` and ``n_chars``; own columns of these names are replaced."""
     # Written, so that its size is known: a small list is broadcast, and otherwise the join can split the pages of a host.
-    found = cut_lineage(templates(importance(pages, url, html))).withColumnRenamed("host", "_host")
+    low = cut_lineage(templates(importance(pages, url, html)))
+    long = cut_lineage(low.groupBy("host").count().where(F.col("count") > listed).select(F.col("host").alias("_host")))
+    short = low.withColumnRenamed("host", "_host").join(long, "_host", "left_anti")
+    found = cut_lineage(short.groupBy("_host").agg(F.collect_list("node").alias("_templates")))
     kept = [c for c in pages.columns if c not in (html, "text", "n_chars")]
     own = F.struct(*kept).alias("_page") if kept else F.struct(F.lit(None).alias("_none")).alias("_page")
-    joined = _with_host(pages, url).select("_host", own, F.col(html).alias("_html")).join(found, "_host", "left")
+    rows = _with_host(pages, url).select("_host", own, F.col(html).alias("_html"))
+    carried = ["_page", "_html", "_templates"]
+    joined = rows.join(found, "_host", "left").select(*carried)
+    if not long.isEmpty():
+        far = rows.join(long, "_host", "left_semi").withColumn("_key", F.sha2("_html", 256))
+        parts = cut_lineage(_of_pages(far, low))
+        joined = (
+            rows.join(long, "_host", "left_anti")
+            .join(found, "_host", "left")
+            .select(*carried)
+            .unionByName(far.join(parts, ["_host", "_key"], "left").select(*carried))
+        )
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -289,5 +321,5 @@ def main_text(pages: DataFrame, url: str = "url", html: str = "html") -> DataFra
             yield pa.RecordBatch.from_pydict({"_page": batch.column("_page"), "text": pa.array(texts, pa.string())})
 
     shape = joined.select("_page", F.lit("").alias("text")).schema
-    out = joined.select("_page", "_html", "_templates").mapInArrow(extract, shape)
+    out = joined.mapInArrow(extract, shape)
     return out.select(*(f"_page.`{c}`" for c in kept), "text", F.length("text").cast("long").alias("n_chars"))

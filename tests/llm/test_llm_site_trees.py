@@ -51,3 +51,16 @@ def test_nulls_repeated_rows_and_extra_columns(spark):
         [(1, "x", 1), (1, "x", 1), (None, "", 0), (2, "", 0)], key=repr
     )
     assert site_trees.main_text(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_a_template_of_few_of_a_hosts_pages_goes_however_many_pages_the_host_has(spark):
+    page = "<body><div class='story'><p>Story {0} tells of {0}.</p></div>{1}"
+    block = lambda i: "<div class='shop'>Shop notes</div>" if i % 25 == 0 else ""
+    rows = [(i, "http://a.example/x", page.format(i, block(i))) for i in range(300)]
+    # Copies, a page without html and a host of its own without templates.
+    rows += [(0, *rows[0][1:]), (900, "http://a.example/x", None), (901, "http://b.example/", page.format(901, block(0)))]
+    df = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    want = sorted([(i, f"Story {i} tells of {i}.") for i in [*range(300), 0]] + [(900, ""), (901, "Story 901 tells of 901.\nShop notes")])
+    # As one list a host, and page by page.
+    for options in ({}, {"listed": 0}):
+        assert sorted((r["page_id"], r["text"]) for r in site_trees.main_text(df, **options).collect()) == want
