@@ -16,6 +16,7 @@ from stayline.llm import (
     secrets,
     site_trees,
     substrings,
+    subword_lattice,
     token_counts,
     tool_calls,
 )
@@ -110,6 +111,11 @@ def quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cotraining.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return subword_lattice.scored(docs, tokenizer_file("piece_bpe_32k.model"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_html_extraction": html_extraction,
     "op2_jaccard_join": jaccard_join,
@@ -121,4 +127,5 @@ QUERIES: dict[str, Query] = {
     "op8_chat_formatting": chat_formatting,
     "op9_quality_classifier": quality_classifier,
     "op10_quality_rules": quality_rules,
+    "op13_lm_scoring": lm_scoring,
 }
