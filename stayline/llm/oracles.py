@@ -91,7 +91,49 @@ select d.doc_id, len(d.w)::bigint as n_words, coalesce(h.n_hit, 0)::bigint as n_
 from doc_words d left join hit_words h on d.doc_id = h.doc_id left join items i on d.doc_id = i.doc_id
 """
 
+COLLOCATIONS = r"""
+with pieces as (
+    select lang, row_number() over () as piece, words from (
+        select lang, list_filter(string_split_regex(p, '[ \t]+'), lambda x: x <> '') as words from (
+            select coalesce(lang, 'und') as lang, unnest(string_split_regex(translate(coalesce(text, ''),
+                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\n\x0B\f\r]')) as p
+            from documents
+        )
+    ) where len(words) > 0
+), totals as (
+    select lang, sum(len(words))::hugeint as n from pieces group by lang
+), counted as (
+    select lang, ids, count(*)::hugeint as f from (
+        select lang, words[i:i + size - 1] as ids from (
+            select lang, words, size, unnest(range(1, len(words) - size + 2)) as i
+            from pieces, (select unnest(range(1, 6)) as size) where len(words) >= size
+        )
+    ) group by lang, ids having count(*) >= 100
+), cuts as (
+    select lang, ids, f, unnest(range(1, len(ids))) as k from counted where len(ids) > 1
+), scored as (
+    select c.lang, c.ids, c.f as a, t.n, x.f as l, y.f as r, c.k, (1000 * c.f * t.n) // (x.f * y.f) as score
+    from cuts c join totals t on t.lang = c.lang
+    join counted x on x.lang = c.lang and x.ids = c.ids[1:c.k]
+    join counted y on y.lang = c.lang and y.ids = c.ids[c.k + 1:]
+), best as (
+    select * from scored qualify row_number() over (partition by lang, ids order by score, k) = 1
+), inner_parts as (
+    select distinct lang, ids[i:i + size - 1] as ids, f from (
+        select lang, ids, f, size, unnest(range(1, len(ids) - size + 2)) as i
+        from counted, (select unnest(range(2, 5)) as size) where len(ids) > size
+    )
+), kept as (
+    select b.*, array_to_string(b.ids, ' ') as phrase from best b
+    where not exists (select 1 from inner_parts p where p.lang = b.lang and p.ids = b.ids and 100 * p.f >= 100 * b.a)
+)
+select lang, row_number() over (partition by lang order by score desc, a desc, encode(phrase)) as rank, phrase,
+    a::bigint as a, l::bigint as l, r::bigint as r, n::bigint as n, score::bigint as score
+from kept qualify rank <= 2000
+"""
+
 ORACLES = {
     "op4_decontamination": DECONTAMINATION,
     "op10_quality_rules": QUALITY_RULES,
+    "op11_phrase_collocations": COLLOCATIONS,
 }

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from stayline.llm import (
     byte_bpe,
+    collocations,
+    conversation_repair,
     cotraining,
     decontaminate,
     near_duplicates,
@@ -111,6 +113,15 @@ def quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cotraining.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def mine_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+def repair_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = conversation_repair.damaged(table(spark, sf_dir, "conversations"))
+    return conversation_repair.digest(conversation_repair.repaired(rows))
+
+
 def lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return subword_lattice.scored(docs, tokenizer_file("piece_bpe_32k.model"))
@@ -127,5 +138,7 @@ QUERIES: dict[str, Query] = {
     "op8_chat_formatting": chat_formatting,
     "op9_quality_classifier": quality_classifier,
     "op10_quality_rules": quality_rules,
+    "op11_phrase_collocations": mine_collocations,
+    "op12_conversation_repair": repair_conversations,
     "op13_lm_scoring": lm_scoring,
 }
