@@ -38,7 +38,7 @@ END = b""
 # Weight of the vocabulary's own distribution against the training texts, in pieces.
 PRIOR = 32_000.0
 ROUNDS = 2
-FREQUENT = 50_000
+FREQUENT = 200_000
 # Expected counts are added up as whole numbers of this fraction, in any order with the same result.
 FIXED = 65_536
 # Sizes of the work inside a task: distinct words held, bytes of text at a time, characters of a lattice at a time.
@@ -366,6 +366,9 @@ def scored(
         end_score = float(lattice.logp[-1])
         numbers: dict[bytes, int] = {}
         names: list[bytes] = []
+        # Words whose count is looked up by a join: row, number of the word, occurrences; rows in order.
+        nothing = np.empty(0, np.int64)
+        seldom = [(nothing, nothing, nothing)]
         known = [np.empty((2, 0))]  # per word: log-probability, log10 of its count or nan where that is looked up later
 
         def learn(tokens: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -380,7 +383,13 @@ def scored(
             return np.fromiter(map(numbers.__getitem__, tokens), np.int64, len(tokens)), known[0]
 
         def finish(batch: pa.RecordBatch, at: int, rows: list[list]) -> pa.RecordBatch:
-            n, score, found, base, rare = zip(*rows, strict=True)
+            n, score, found, base = zip(*rows, strict=True)
+            owner, codes, many = (np.concatenate(parts) for parts in zip(*seldom, strict=True))
+            seldom[1:] = []
+            words = pa.StructArray.from_arrays(
+                [pa.array(names, pa.binary()).take(pa.array(codes)), pa.array(many)], ["word", "n"]
+            )
+            ends = np.searchsorted(owner, np.arange(len(rows) + 1))
             return pa.RecordBatch.from_pydict(
                 {
                     "_row": batch.column("_row").slice(at, len(rows)),
@@ -389,7 +398,7 @@ def scored(
                     "_score": pa.array(score, pa.float64()),
                     "_known": pa.array(found, pa.int64()),
                     "_base": pa.array(base, pa.float64()),
-                    "_rare": pa.array(rare, pa.list_(pa.struct([("word", pa.binary()), ("n", pa.int64())]))),
+                    "_rare": pa.ListArray.from_arrays(pa.array(ends, pa.int32()), words),
                 }
             )
 
@@ -406,10 +415,9 @@ def scored(
             n_common = np.bincount(owner[common], minlength=len(ends))
             base = np.bincount(owner[common], logc[common], len(ends))
             pairs, n = np.unique(owner[~common] * len(numbers) + codes[~common], return_counts=True)
-            own = rows[len(rows) - len(ends) :]
-            for at, c, m in zip((pairs // len(numbers)).tolist(), (pairs % len(numbers)).tolist(), n.tolist(), strict=True):
-                own[at][4].append((names[c], m))
-            for row, size, s, k, b in zip(own, sizes, score, n_common, base, strict=True):
+            first = len(rows) - len(ends)
+            seldom.append((pairs // len(numbers) + first, pairs % len(numbers), n))
+            for row, size, s, k, b in zip(rows[first:], sizes, score, n_common, base, strict=True):
                 row[0] += int(size)
                 row[1] += float(s)
                 row[2] += int(k)
@@ -420,7 +428,7 @@ def scored(
             for i, raw in enumerate(batch.column("_text").cast(pa.binary())):
                 n_end = counted.get(END)
                 rows.append(
-                    [1, end_score, int(n_end is not None), 0.0 if n_end is None else float(np.log10(n_end + 0.5)), []]
+                    [1, end_score, int(n_end is not None), 0.0 if n_end is None else float(np.log10(n_end + 0.5))]
                 )
                 body = raw.as_py() or b""
                 for part in blocks(body):
