@@ -1,91 +1,156 @@
-"""Gradient-boosted trees on the feature matrix: training, cross-validation, importance, scoring."""
+"""Gradient-boosted trees on the feature matrix: training, cross-validation, importance, scoring, storage."""
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+import json
+from collections.abc import Sequence
+from dataclasses import asdict, dataclass, field, replace
 from datetime import datetime
 
-from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stayline.operators import evaluate, matrix
+from stayline.operators import boosting, evaluate, matrix
+from stayline.operators.boosting import Settings
 from stayline.operators.evaluate import SCORE
 from stayline.operators.matrix import LABEL
-from stayline.session import cut_lineage, shared_dir
-
-# Trees, depth, learning rate, row and column sampling, leaf size and seed of the production model. Spark
-# trees have no L1/L2 leaf penalty, draw columns per node and scale split gain differently, so those have no setting.
-GBT_PARAMS = {
-    "maxIter": 300,
-    "maxDepth": 4,
-    "stepSize": 0.05,
-    "subsamplingRate": 0.8,
-    "featureSubsetStrategy": "0.8",
-    "minInstancesPerNode": 5,
-    "seed": 42,
-}
-_WEIGHT, _VECTOR = "_weight", "_features"
+from stayline.session import cut_lineage
+
+KEY = "customer_id"
+
+# Importance of a feature by what the ledger records of its splits.
+IMPORTANCE_KINDS = {"gain": "avg(gain)", "total_gain": "sum(gain)", "cover": "avg(cover)", "weight": "cast(count(*) as double)"}
+IMPORTANCE_SQL = """
+select feature, sum(amount) / greatest(sum(sum(amount)) over (), 1e-300) as importance from (
+    select feature, {amount} as amount from {ledger} where feature is not null group by feature
+    union all select feature, 0.0 as amount from {features}
+) group by feature
+"""
+
+
+def _expression(nodes: dict[int, tuple], at: int = 0) -> str:
+    _, _, _, feature, threshold, left, right, value, _, _ = nodes[at]
+    if feature is None:
+        return f"{value!r}D"
+    return f"if(`{feature}` <= {threshold!r}D, {_expression(nodes, left)}, {_expression(nodes, right)})"
+
+
+def _total(parts: Sequence[str]) -> str:
+    if len(parts) < 2:
+        return parts[0] if parts else "0D"
+    half = len(parts) // 2
+    return f"({_total(parts[:half])} + {_total(parts[half:])})"
 
 
 @dataclass
 class ChurnModel:
-    """A fitted model with what scoring needs besides: the feature list and the imputation medians."""
+    """A fitted model: the ledger of its nodes, and what scoring needs besides: the feature list and the imputation medians."""
 
-    trees: GBTClassificationModel
+    nodes: list[tuple]
     features: list[str]
     medians: dict[str, float]
+    settings: Settings = Settings()
     metrics: dict[str, float] = field(default_factory=dict)
 
+    def margin(self) -> Column:
+        """The trees as one expression over the imputed features."""
+        trees: dict[int, dict[int, tuple]] = {}
+        for row in self.nodes:
+            trees.setdefault(row[0], {})[row[1]] = row
+        return F.expr(_total([_expression(trees[t]) for t in sorted(trees)]))
+
+    def imputed(self, feature_matrix: DataFrame) -> DataFrame:
+        # A feature without a single known value has no median either; it is constant for the trees.
+        return matrix.impute(feature_matrix, self.medians).fillna(0.0, subset=self.features)
+
     def score(self, feature_matrix: DataFrame) -> DataFrame:
         """Add ``score``, the probability of churn."""
-        vectors = _vectors(matrix.impute(feature_matrix, self.medians), self.features)
-        scored = self.trees.transform(vectors).withColumn(SCORE, vector_to_array("probability")[1])
+        margins = self.imputed(feature_matrix).withColumn(SCORE, self.margin())
+        scored = margins.withColumn(SCORE, 1.0 / (1.0 + F.exp(-F.col(SCORE))))
         return scored.select(*feature_matrix.columns, SCORE)
 
-    def importance(self) -> list[tuple[str, float]]:
-        return list(zip(self.features, (float(v) for v in self.trees.featureImportances.toArray()), strict=True))
+    def ledger(self, spark: SparkSession) -> DataFrame:
+        """One row per node of every tree: bounded by the settings, whatever the number of rows."""
+        return spark.createDataFrame(self.nodes, boosting.NODES)
 
+    def importance(self, spark: SparkSession, kind: str = "gain") -> DataFrame:
+        """Share of each feature in the importance, 0 for one that no split uses."""
+        features = spark.createDataFrame([(f,) for f in self.features], "feature string")
+        return spark.sql(
+            IMPORTANCE_SQL.replace("{amount}", IMPORTANCE_KINDS[kind]), ledger=self.ledger(spark), features=features
+        )
 
-def _vectors(imputed: DataFrame, features: list[str]) -> DataFrame:
-    # A feature without a single known value has no median either; it is constant for the trees.
-    return VectorAssembler(inputCols=features, outputCol=_VECTOR).transform(imputed.fillna(0.0, subset=features))
+    def save(self, spark: SparkSession, path: str) -> None:
+        """Two small tables: the ledger, and features, medians, settings and metrics."""
+        self.ledger(spark).coalesce(1).write.mode("overwrite").parquet(f"{path}/ledger")
+        facts = {"features": self.features, "medians": self.medians, "settings": asdict(self.settings), "metrics": self.metrics}
+        rows = spark.createDataFrame([(name, json.dumps(value)) for name, value in facts.items()], "name string, value string")
+        rows.coalesce(1).write.mode("overwrite").parquet(f"{path}/facts")
 
 
-def fit(train: DataFrame, medians: dict[str, float] | None = None, **params) -> ChurnModel:
-    """Fit on a training matrix. Medians come from it unless given; the positive class is weighted up to balance.
+def load(spark: SparkSession, path: str) -> ChurnModel:
+    """A saved model, in any session."""
+    facts = {r["name"]: json.loads(r["value"]) for r in spark.read.parquet(f"{path}/facts").collect()}
+    nodes = sorted(tuple(r) for r in spark.read.parquet(f"{path}/ledger").collect())
+    return ChurnModel(nodes, facts["features"], facts["medians"], Settings(**facts["settings"]), facts["metrics"])
+
 
-    Rows without a label teach nothing and are left out. Rows are laid out by id before the fit, so that the sampling of
-    the trees does not depend on how the input happened to be partitioned.
+def walked_scores(model: ChurnModel, feature_matrix: DataFrame) -> DataFrame:
+    """The scores once more, by walking every tree in the ledger with joins: customer id and ``score``.
+
+    Slow next to the compiled expression; it shows that the stored tables alone give the same scores.
     """
+    spark = feature_matrix.sparkSession
+    nodes = model.ledger(spark).select("tree", "node", "feature", "threshold", "left_node", "right_node", "value")
+    values = F.map_from_arrays(F.array(*map(F.lit, model.features)), F.array(*(F.col(f"`{f}`") for f in model.features)))
+    at = model.imputed(feature_matrix).select(
+        KEY,
+        values.alias("known"),
+        F.explode(F.sequence(F.lit(0), F.lit(model.settings.n_trees - 1))).alias("tree"),
+        F.lit(0).alias("node"),
+    )
+    for _ in range(model.settings.max_depth):
+        left = F.element_at("known", F.col("feature")) <= F.col("threshold")
+        onward = F.when(F.col("feature").isNull(), F.col("node")).when(left, F.col("left_node")).otherwise(F.col("right_node"))
+        at = at.join(nodes, ["tree", "node"]).select(KEY, "known", "tree", onward.alias("node"))
+    margins = at.join(nodes, ["tree", "node"]).groupBy(KEY).agg(F.sum("value").alias(SCORE))
+    return margins.withColumn(SCORE, 1.0 / (1.0 + F.exp(-F.col(SCORE))))
+
+
+def _fit(
+    train: DataFrame, medians: dict[str, float] | None, n_folds: int, params: dict
+) -> tuple[ChurnModel, boosting.Fitted]:
+    """One pass for the model of all rows and one model per held-out fold. Rows without a label teach nothing and are left out."""
     train = train.where(F.col(LABEL).isNotNull())
-    shared_dir(train.sparkSession)  # the trees' periodic checkpoints go to the shared folder
     features = matrix.feature_columns(train)
+    if n_folds:
+        train = matrix.stratified_folds(train, k=n_folds)
+    train = cut_lineage(train)
     medians = matrix.fit_medians(train) if medians is None else medians
-    weight = matrix.class_weight(train).first()["positive_weight"] or 1.0
-    weighted = _vectors(matrix.impute(train, medians), features).withColumn(
-        _WEIGHT, F.when(F.col(LABEL) == 1, float(weight)).otherwise(1.0)
-    )
-    trees = GBTClassifier(
-        featuresCol=_VECTOR, labelCol=LABEL, weightCol=_WEIGHT, **{**GBT_PARAMS, **params}
-    ).fit(weighted.repartition("customer_id").sortWithinPartitions("customer_id").select(_VECTOR, LABEL, _WEIGHT))
-    return ChurnModel(trees, features, medians)
+    settings = Settings(**params)
+    if "scale_pos_weight" not in params:
+        # The positive class is weighted up to balance.
+        settings = replace(settings, scale_pos_weight=float(matrix.class_weight(train).first()["positive_weight"] or 1.0))
+    # Rows are laid out by id; how many tasks that is follows from their measured size.
+    rows = matrix.impute(train, medians).repartition(KEY).sortWithinPartitions(KEY)
+    fitted = boosting.fit(rows, features, settings, KEY, LABEL, "fold" if n_folds else None, n_folds)
+    return ChurnModel(boosting.node_rows(fitted.trees[-1], fitted.cuts, features), features, medians, settings), fitted
 
 
-def cross_validate(train: DataFrame, k: int = matrix.N_FOLDS, **params) -> list[float]:
-    """ROC-AUC of each held-out fold. The driver loops over k folds, never over rows."""
-    folded = cut_lineage(matrix.stratified_folds(train.where(F.col(LABEL).isNotNull()), k=k))
-    judge = BinaryClassificationEvaluator(
-        rawPredictionCol=SCORE, labelCol=LABEL, metricName="areaUnderROC", numBins=0
-    )
-    scores = []
-    for fold in range(k):
-        fitted = fit(folded.where(F.col("fold") != fold).drop("fold"), **params)
-        scores.append(judge.evaluate(fitted.score(folded.where(F.col("fold") == fold).drop("fold"))))
-    return scores
+def _fold_scores(fitted: boosting.Fitted, k: int) -> list[float]:
+    scored = cut_lineage(fitted.held_out())
+    return [evaluate.roc_auc(scored.where(F.col("fold") == fold)).first()["roc_auc"] for fold in range(k)]
+
+
+def fit(train: DataFrame, medians: dict[str, float] | None = None, **params) -> ChurnModel:
+    """Fit on a training matrix. Medians come from it unless given, the weight of the positive class too; ``params`` are those of
+    ``Settings``."""
+    return _fit(train, medians, 0, params)[0]
+
+
+def cross_validate(train: DataFrame, k: int = matrix.N_FOLDS, medians: dict[str, float] | None = None, **params) -> list[float]:
+    """ROC-AUC of each held-out fold; all folds are trained in one pass, with one set of bins, medians and class weight."""
+    return _fold_scores(_fit(train, medians, k, params)[1], k)
 
 
 def cv_summary(spark, scores: list[float]) -> DataFrame:
@@ -96,11 +161,9 @@ def cv_summary(spark, scores: list[float]) -> DataFrame:
     return spark.createDataFrame(rows, "fold string, auc double")
 
 
-def importance_ranking(spark, model: ChurnModel, top: int | None = 15) -> DataFrame:
+def importance_ranking(spark, model: ChurnModel, top: int | None = 15, kind: str = "gain") -> DataFrame:
     """Features by falling importance; ``top=None`` keeps all."""
-    ranked = spark.createDataFrame(model.importance(), "feature string, importance double").orderBy(
-        F.desc("importance"), "feature"
-    )
+    ranked = model.importance(spark, kind).orderBy(F.desc("importance"), "feature")
     return ranked if top is None else ranked.limit(top)
 
 
@@ -128,13 +191,11 @@ def train(
     cv_folds: int = matrix.N_FOLDS,
     impute_scope: str = "train",
     trained_at: datetime | None = None,
-    fitted: ChurnModel | None = None,
     **params,
 ) -> TrainingRun:
-    """Split, cross-validate, fit, evaluate on the test part, and record the metrics as rows (metric, value).
+    """Split, cross-validate and fit in one pass, evaluate on the test part, and record the metrics as rows (metric, value).
 
-    ``impute_scope='train'`` learns the medians on the training part only; ``'all'`` on the whole matrix. ``fitted`` is a
-    model of this very training part and these settings, if there is one already.
+    ``impute_scope='train'`` learns the medians on the training part only; ``'all'`` on the whole matrix.
     """
     if impute_scope not in ("train", "all"):
         raise ValueError(f"impute_scope must be 'train' or 'all', not {impute_scope!r}")
@@ -143,9 +204,10 @@ def train(
     train_part = whole.where("split = 'train'").drop("split")
     test_part = whole.where("split = 'test'").drop("split")
     medians = matrix.fit_medians(whole) if impute_scope == "all" else None
-    folds = cross_validate(train_part, cv_folds, **params) if cv_folds else []
-    model = fitted or fit(train_part, medians, **params)
-    test_scores = cut_lineage(model.score(test_part).select("customer_id", LABEL, SCORE))
+    model, fitted = _fit(train_part, medians, cv_folds, params)
+    folds = _fold_scores(fitted, cv_folds)
+    fitted.blocks.unpersist()
+    test_scores = cut_lineage(model.score(test_part).select(KEY, LABEL, SCORE))
     model.metrics = {
         "test_auc": evaluate.roc_auc(test_scores).first()["roc_auc"],
         "test_avg_precision": evaluate.average_precision(test_scores).first()["average_precision"],

@@ -539,6 +539,34 @@ union all select 'churn_rate', avg(label) from stratified_split"""
 CTES["score_agreement"] = """select customer_id, true prediction_agrees, true tier_agrees, true is_probability
 from dim_customer"""
 CTES["importance_names"] = f"select unnest([{', '.join(repr(c) for c in FEATURES)}]) feature"
+CTES["importance_file"] = "select feature, true is_share from importance_names"
+CTES["score_walk"] = "select customer_id, true score_agrees from dim_customer"
+CTES["ledger_checks"] = """select cast(t as integer) tree, true is_binary, true covers_add_up, true gains_enough,
+true leaves_have_values, true within_depth from range(300) trees(t)"""
+CTES["published_views"] = " union all ".join(
+    f"select '{name}' view_name, count(*) n from {name}"
+    for name in (
+        "stg_customers", "stg_subscription_events", "stg_support_tickets", "stg_watch_events", "stg_user_ratings",
+        "stg_user_watchlist", "stg_content_catalog",
+    )
+)
+
+# The first split of a fit, feature by feature: gradients at even odds, both penalties, least hessian 5, least gain 1.
+CTES["split_cells"] = f"""unpivot (select m.label, {", ".join(f"d.{c}" for c in FEATURES)}
+from feature_matrix m join impute_median_all d using (customer_id)) on {", ".join(FEATURES)} into name feature value v"""
+CTES["split_sums"] = """select feature, v, sum(if(label = 1, -w / 2, 0.5)) g, sum(if(label = 1, w, 1.0) / 4) h
+from split_cells, (select count(*) filter (label = 0) / count(*) filter (label = 1) w from feature_matrix) odds
+group by feature, v"""
+CTES["split_cuts"] = f"""select distinct feature, unnest(quantile_disc(v, [{", ".join(str(i / 256) for i in range(1, 256))}])) v
+from split_cells group by feature"""
+CTES["split_sides"] = """select feature, v, sum(g) over upto gl, sum(h) over upto hl, sum(g) over whole - sum(g) over upto gr,
+sum(h) over whole - sum(h) over upto hr from split_sums
+window upto as (partition by feature order by v), whole as (partition by feature)"""
+CTES["split_gains"] = """select feature, v, greatest(abs(gl) - 0.1, 0) ** 2 / (hl + 1) + greatest(abs(gr) - 0.1, 0) ** 2 / (hr + 1)
+- greatest(abs(gl + gr) - 0.1, 0) ** 2 / (hl + hr + 1) gain
+from split_sides join split_cuts using (feature, v) where least(hl, hr) >= 5 - 1e-6"""
+CTES["first_splits"] = """select feature, v threshold, round(gain, 5) gain from split_gains where gain >= 1
+qualify row_number() over (partition by feature order by round(gain, 7) desc, v) = 1"""
 
 _SAME = {
     "ml_feature_store_stored": "ml_feature_store",

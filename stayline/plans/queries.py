@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
-from stayline.operators import catalog, evaluate, features, matrix, model, ordered, quality, staging, titles
+from stayline.operators import boosting, catalog, evaluate, features, matrix, model, ordered, quality, staging, titles
 from stayline.plans.checks import CHECKS, KINDS
 from stayline.plans.warehouse import MARTS, STAGING, Warehouse
 from stayline.schemas import CATALOG_SCHEMA, RAW_SCHEMAS
@@ -157,44 +157,100 @@ def _stored_features(w: Warehouse) -> DataFrame:
     return cut_lineage(w["ml_churn_feature_store"])
 
 
-# One production fit takes hundreds of boosting rounds, so the model queries of a session share it: the feature table
-# stored and the model fitted, and the complete training run, by (application, folder).
-_FITTED: dict[tuple, tuple[DataFrame, model.ChurnModel]] = {}
-_RUNS: dict[tuple, model.TrainingRun] = {}
+# The model queries of a session share one training run by (application, folder): a level of all six models is one job, but
+# there are some 1,200 levels.
+_RUNS: dict[tuple, tuple[DataFrame, model.TrainingRun]] = {}
 
 
-def _fitted(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, model.ChurnModel]:
-    key = run_key(spark, sf_dir)
-    if key not in _FITTED:
-        stored = _stored_features(warehouse(spark, sf_dir))
-        whole = matrix.stratified_split(matrix.feature_matrix(stored))
-        _FITTED[key] = stored, model.fit(whole.where("split = 'train'").drop("split"))
-    return _FITTED[key]
-
-
-def _training_run(spark: SparkSession, sf_dir: str) -> model.TrainingRun:
+def _training_run(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, model.TrainingRun]:
     key = run_key(spark, sf_dir)
     if key not in _RUNS:
-        stored, fitted = _fitted(spark, sf_dir)
-        _RUNS[key] = model.train(stored, fitted=fitted)
+        stored = _stored_features(warehouse(spark, sf_dir))
+        _RUNS[key] = stored, model.train(stored)
     return _RUNS[key]
 
 
 def _train_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _training_run(spark, sf_dir).metrics
+    return _training_run(spark, sf_dir)[1].metrics
 
 
 def _cv(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return model.cv_summary(spark, _training_run(spark, sf_dir).folds)
+    return model.cv_summary(spark, _training_run(spark, sf_dir)[1].folds)
+
+
+def _saved_and_loaded(spark: SparkSession, sf_dir: str) -> model.ChurnModel:
+    folder = scratch_path(spark, "model")
+    _training_run(spark, sf_dir)[1].model.save(spark, folder)
+    return model.load(spark, folder)
 
 
 def _scored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stored, fitted = _fitted(spark, sf_dir)
-    return model.score_customers(fitted, stored)
+    stored, _ = _training_run(spark, sf_dir)
+    return model.score_customers(_saved_and_loaded(spark, sf_dir), stored)
+
+
+def _score_walk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether the compiled expression of the model read back gives each customer the score that walking its stored trees gives."""
+    stored, _ = _training_run(spark, sf_dir)
+    fitted, features_ = _saved_and_loaded(spark, sf_dir), matrix.feature_matrix(stored)
+    walked = model.walked_scores(fitted, features_).withColumnRenamed(evaluate.SCORE, "walked")
+    same = F.col(evaluate.SCORE).eqNullSafe(F.col("walked"))
+    return fitted.score(features_).join(walked, "customer_id", "left").select("customer_id", same.alias("score_agrees"))
+
+
+def _ledger_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of every tree: whether splits have two children, whose covers add up to their own, and gains of at least gamma, whether
+    leaves have a value, and whether no node is too deep."""
+    fitted = _training_run(spark, sf_dir)[1].model
+    ledger, setting = fitted.ledger(spark), fitted.settings
+    below = (
+        ledger.where("node > 0")
+        .select("tree", F.floor((F.col("node") - 1) / 2).cast("int").alias("node"), "cover")
+        .groupBy("tree", "node")
+        .agg(F.count("*").alias("children"), F.sum("cover").alias("below"))
+    )
+    is_split = F.col("feature").isNotNull()
+    return (
+        ledger.join(below, ["tree", "node"], "left")
+        .groupBy("tree")
+        .agg(
+            F.bool_and(F.coalesce("children", F.lit(0)) == F.when(is_split, 2).otherwise(0)).alias("is_binary"),
+            F.bool_and(~is_split | (F.abs(F.col("cover") - F.col("below")) < 1e-5)).alias("covers_add_up"),
+            F.bool_and(~is_split | (F.col("gain") >= setting.gamma)).alias("gains_enough"),
+            F.bool_and(is_split != F.col("value").isNotNull()).alias("leaves_have_values"),
+            F.bool_and(F.col("depth") <= setting.max_depth).alias("within_depth"),
+        )
+    )
 
 
 def _importance(spark: SparkSession, sf_dir: str, top: int | None = 15) -> DataFrame:
-    return model.importance_ranking(spark, _fitted(spark, sf_dir)[1], top)
+    return model.importance_ranking(spark, _training_run(spark, sf_dir)[1].model, top)
+
+
+def _importance_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole ranking written as one CSV file and read back."""
+    folder = scratch_path(spark, "importance")
+    tables.write_csv(_importance(spark, sf_dir, top=None), folder, single_header_file=True)
+    ranked = spark.read.schema("feature string, importance double").option("header", "true").csv(folder)
+    return ranked.select("feature", F.col("importance").between(0, 1).alias("is_share"))
+
+
+def _first_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per feature the best split of all rows by the regularised gain, at 256 bins and otherwise the production setting."""
+    whole = cut_lineage(_matrix(warehouse(spark, sf_dir)))
+    rows = matrix.impute(whole, matrix.fit_medians(whole)).where(F.col(matrix.LABEL).isNotNull())
+    weight = matrix.class_weight(rows).first()["positive_weight"] or 1.0
+    settings = model.Settings(max_bins=256, scale_pos_weight=weight)
+    found = boosting.first_splits(rows, matrix.feature_columns(rows), settings, "customer_id", matrix.LABEL)
+    return spark.createDataFrame(
+        [(f, threshold, round(gain, 5)) for f, threshold, gain in found], "feature string, threshold double, gain double"
+    )
+
+
+def _published_views(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of the staging models, counted through the views they are published as."""
+    tables.publish_views(warehouse(spark, sf_dir), STAGING)
+    return spark.sql(" union all ".join(f"select '{name}' as view_name, count(*) as n from {name}" for name in STAGING))
 
 
 def _agreement(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -307,6 +363,11 @@ QUERIES: dict[str, Query] = {
     "training_facts": _on(lambda w: model.run_facts(matrix.stratified_split(_matrix(w)))),
     "score_agreement": _agreement,
     "importance_names": lambda spark, sf_dir: _importance(spark, sf_dir, top=None).select("feature"),
+    "importance_file": _importance_file,
+    "published_views": _published_views,
+    "first_splits": _first_splits,
+    "ledger_checks": _ledger_checks,
+    "score_walk": _score_walk,
     "train_gbt": _train_metrics,
     "cv_auc": _cv,
     "score_customers": _scored,
