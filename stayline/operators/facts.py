@@ -7,12 +7,13 @@ large share of the rows. Where a step would gather one customer's rows (windows)
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stayline.functions import vocab
 from stayline.functions.columns import at_least, at_most, count_where, lookup
 from stayline.functions.keys import surrogate_key
+from stayline.operators.ordered import LONG_HISTORY, previous_values
 
 _COPIES_PER_SLICE = 100_000
 
@@ -140,17 +141,19 @@ def fct_daily_user_activity(
     )
 
 
-def fct_subscription_event(events: DataFrame, customers: DataFrame, dates: DataFrame) -> DataFrame:
+def fct_subscription_event(
+    events: DataFrame, customers: DataFrame, dates: DataFrame, longest: int = LONG_HISTORY
+) -> DataFrame:
     """Lifecycle events of known customers on calendar days, each with the plan, price and day of the one before.
 
-    Events of one day are ordered subscribe, upgrade, downgrade, cancel, then by the remaining columns. Two steps keep
+    Events of one day are ordered subscribe, upgrade, downgrade, cancel, then by the remaining columns. Three steps keep
     a customer with an extreme number of rows off a single task. Rows equal in every column are first collapsed to one
-    row with a count (combined map-side), which leaves at most one row per calendar day and combination of the
-    categorical columns in a customer's window. The copies are then put back by a distributed expansion; each copy
-    follows an equal row, so its previous values are its own.
+    row with a count (combined map-side). A history of more than ``longest`` distinct rows is cut into days, and the last
+    row of a day is carried to the next (``previous_values``). The copies are then put back by a distributed expansion;
+    each copy follows an equal row, so its previous values are its own.
     """
     fields = events.columns
-    calendar = F.broadcast(dates.select(F.col("date_day").alias("event_date")))  # one row per day of a few years
+    calendar = dates.select(F.col("date_day").alias("event_date"))
     distinct = (
         events.join(calendar, "event_date", "left_semi")
         .groupBy(*fields)
@@ -158,21 +161,17 @@ def fct_subscription_event(events: DataFrame, customers: DataFrame, dates: DataF
         .join(customers.select("customer_id", "customer_key"), "customer_id")
     )
     lifecycle_rank = lookup(F.col("event_type"), {name: i for i, name in enumerate(vocab.EVENT_TYPES)}, 9)
-    timeline = Window.partitionBy("customer_id").orderBy(
-        "event_date",
+    ties = [
         lifecycle_rank,
-        "subscription_event_key",
-        F.col("plan_type").asc_nulls_first(),
-        F.col("monthly_revenue").asc_nulls_first(),
-        F.col("cancellation_reason").asc_nulls_first(),
-    )
+        *(F.col(c) for c in ("subscription_event_key", "plan_type", "monthly_revenue", "cancellation_reason")),
+    ]
     # The filter drops nothing. It keeps the count in this branch, so both branches read one and the same exchange.
-    chained = distinct.where("_copies >= 1").select(
+    chained = previous_values(
+        distinct.where("_copies >= 1"), "customer_id", "event_date", ties, ["plan_type", "monthly_revenue", "event_date"], longest
+    ).select(
         "*",
-        F.lag("plan_type").over(timeline).alias("previous_plan_type"),
-        F.lag("monthly_revenue").over(timeline).alias("previous_monthly_revenue"),
-        F.datediff("event_date", F.lag("event_date").over(timeline)).alias("days_since_previous_event"),
-    )
+        F.datediff("event_date", "previous_event_date").alias("days_since_previous_event"),
+    ).drop("previous_event_date")
     further = _repeat(distinct.where("_copies > 1"), F.col("_copies") - 1).select(
         "*",
         F.col("plan_type").alias("previous_plan_type"),

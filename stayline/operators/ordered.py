@@ -148,3 +148,36 @@ def exact_medians(df: DataFrame, columns: Sequence[str], slices: int = 64) -> Da
     return ranked.groupBy("column_name").agg(
         ((at("(total + 1) div 2") + at("(total + 2) div 2")) / 2).alias("median")
     )
+
+
+# Rows of one group that a single window may order; a longer history is cut into its days.
+LONG_HISTORY = 100_000
+
+
+def previous_values(
+    df: DataFrame, group: str, day: str, ties: Sequence[Column], values: Sequence[str], longest: int = LONG_HISTORY
+) -> DataFrame:
+    """Add ``previous_<value>``: what the row before it in (day, ties) order has, within a group.
+
+    A group of up to ``longest`` rows is one window. The history of a longer one is cut into days, each a window of its own, so
+    that it is spread over tasks; the last row of a day is carried to the group's next day with rows by a table of one row for each day,
+    which a map-side combined maximum finds. All orders are ascending with nulls first, as structs compare. Groups above the limit are
+    at most rows / ``longest``, so the list of them is small.
+    """
+    long_groups = (
+        df.groupBy(group).agg(F.count(day).alias("_n")).where(F.col("_n") > longest).select(group, F.lit(True).alias("_long"))
+    )
+    ranged = df.join(long_groups, group, "left").withColumns(
+        {"_range": F.when(F.col("_long"), F.col(day)), "_own": F.struct(*values)}
+    )
+    order = [F.col(day), *ties]
+    inside = ranged.withColumn("_before", F.lag("_own").over(Window.partitionBy(group, "_range").orderBy(*order)))
+    place = F.struct(*(c.alias(f"o{i}") for i, c in enumerate(order)))
+    last = ranged.where("_range is not null").groupBy(group, "_range").agg(F.max_by("_own", place).alias("_last"))
+    carried = last.withColumn("_carried", F.lag("_last").over(Window.partitionBy(group).orderBy("_range"))).drop("_last")
+    before = F.coalesce("_before", "_carried")
+    return (
+        inside.join(carried, [group, "_range"], "left")
+        .withColumns({f"previous_{v}": before[v] for v in values})
+        .select(*df.columns, *(f"previous_{v}" for v in values))
+    )

@@ -166,8 +166,10 @@ def test_lag_follows_the_lifecycle(spark):
     assert out.count() == 4
 
 
-def test_lag_with_copies_equals_the_row_by_row_walk(spark, monkeypatch):
-    """One customer holds most rows, most of them copies; small slices force the copies over several tasks."""
+@pytest.mark.parametrize("longest", [3, 100_000])
+def test_lag_with_copies_equals_the_row_by_row_walk(spark, monkeypatch, longest):
+    """One customer holds most rows, most of them copies; small slices force the copies over several tasks, and a small limit cuts
+    the history into days."""
     monkeypatch.setattr(facts, "_COPIES_PER_SLICE", 7)
     rows = [sub("hot", "subscribe", "2023-01-15")] * 50 + [sub("hot", "downgrade", "2023-03-01", "basic", "9.99")] * 3
     rows += [sub("hot", "upgrade", "2023-03-01", p, "15.49") for p in ("premium", "standard", "standard")]
@@ -183,7 +185,7 @@ def test_lag_with_copies_equals_the_row_by_row_walk(spark, monkeypatch):
         ] += 1
         last[row[1]] = row
     out = facts.fct_subscription_event(
-        spark.createDataFrame(rows, SUBSCRIPTION).repartition(4), customers(spark, "hot", "c2"), dims.dim_date(spark)
+        spark.createDataFrame(rows, SUBSCRIPTION).repartition(4), customers(spark, "hot", "c2"), dims.dim_date(spark), longest
     )
     got = out.select(
         "subscription_event_key",

@@ -142,3 +142,26 @@ def test_median_of_a_million_different_values(spark):
     result = ordered.exact_medians(df, ["v"])
     assert result.collect()[0].median == values[500_000]
     assert "SinglePartition" not in plan(result)
+
+
+@pytest.mark.parametrize("longest", [1, 40, 10_000])
+def test_previous_values_of_a_long_history_are_carried_from_day_to_day(spark, longest):
+    rng = random.Random(8)
+    rows = [("hot", rng.choice([1, 1, 2, 5, 9, 30]), rng.randint(0, 10**6), rng.choice([None, 1, 2])) for _ in range(300)]
+    rows += [(f"g{i % 7}", rng.randint(0, 4), i, i) for i in range(30)]
+    df = spark.createDataFrame(rows, "g string, day int, tie int, v int").repartition(5)
+    out = ordered.previous_values(df, "g", "day", [F.col("tie"), F.col("v")], ["v", "day"], longest)
+    last, want = {}, []
+    for g, day, tie, v in sorted(rows, key=lambda r: (r[0], r[1], r[2], r[3] is not None, r[3] or 0)):
+        want.append((g, day, tie, v, *last.get(g, (None, None))))
+        last[g] = v, day
+    assert sorted(map(tuple, out.collect()), key=repr) == sorted(want, key=repr)
+
+
+def test_a_long_history_is_ordered_day_by_day_on_several_tasks(spark, conf):
+    conf(spark__sql__adaptive__enabled="false", spark__sql__shuffle__partitions="8")
+    df = spark.range(200_000).select(F.lit("hot").alias("g"), (F.col("id") % 900).cast("int").alias("day"), F.col("id").alias("tie"))
+    out = ordered.previous_values(df, "g", "day", [F.col("tie")], ["tie"], 50_000)
+    sizes = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) == 8
+    assert max(sizes) < 2 * 200_000 / 8
