@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+import time
+import uuid
+from collections.abc import Callable, Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -93,15 +95,86 @@ def routed_name(
     return ".".join(part for part in (where, schema, name) if part)
 
 
-def refresh_table(df: DataFrame, table: str, location: str | None = None) -> DataFrame:
-    """Full refresh: replace the table, creating its schema when needed (in a folder of ``location``), and read it back."""
+Check = Callable[[DataFrame], None]
+
+
+def not_empty(df: DataFrame) -> None:
+    """A check for a refresh: a table without rows does not become current."""
+    if df.isEmpty():
+        raise ValueError("the new version has no rows")
+
+
+def _file_system(spark: SparkSession, path: str):
+    context = spark.sparkContext
+    place = context._jvm.org.apache.hadoop.fs.Path(path)
+    return place, place.getFileSystem(context._jsc.hadoopConfiguration())
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    place, files = _file_system(spark, path)
+    files.delete(place, True)
+
+
+def _folders(spark: SparkSession, path: str) -> list[str]:
+    place, files = _file_system(spark, path)
+    return sorted(s.getPath().getName() for s in files.listStatus(place) if s.isDirectory()) if files.exists(place) else []
+
+
+def _new_version() -> str:
+    # Names sort by the time they were begun.
+    return f"v{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+
+
+def _expire(spark: SparkSession, folder: str, current: str, keep: int) -> None:
+    """Delete versions begun before the last ``keep``, never the current one and never one begun after it."""
+    older = [name for name in _folders(spark, folder) if name.startswith("v") and name < current]
+    for name in older[: max(0, len(older) - keep + 1)]:
+        _delete(spark, f"{folder}/{name}")
+
+
+def refresh_table(
+    df: DataFrame, table: str, location: str | None = None, checks: Iterable[Check] = (), keep: int = 2
+) -> DataFrame:
+    """Full refresh by version and pointer: write the rows to a folder of their own, check them there, make them current in one
+    step, and read the table back. The schema is created when needed, in a folder of ``location`` if one is given.
+
+    Until that step readers see the table as it was, whatever happens to the write or the checks; the folder of a failed
+    version is removed. The step is a change of the table's location in the catalog. Where the columns changed, or the table
+    was not made this way, the new table takes the old one's name instead. The last ``keep`` versions stay for readers that
+    have begun.
+    """
     spark = df.sparkSession
-    if "." in table:
-        schema = table.rsplit(".", 1)[0]
-        where = f" LOCATION '{location}/{schema}'" if location else ""
-        spark.sql(f"CREATE SCHEMA IF NOT EXISTS {schema}{where}")
-    df.write.mode("overwrite").option("overwriteSchema", "true").saveAsTable(table)
-    return spark.table(table)
+    schema, name = table.rsplit(".", 1) if "." in table else (spark.catalog.currentDatabase(), table)
+    where = f" LOCATION '{location}/{schema}'" if location else ""
+    spark.sql(f"CREATE SCHEMA IF NOT EXISTS {schema}{where}")
+    folder = f"{spark.catalog.getDatabase(schema).locationUri}/{name}.versions"
+    version = _new_version()
+    path, staged = f"{folder}/{version}", f"{schema}.{name}__{version.replace('-', '_')}"
+    try:
+        df.write.option("path", path).saveAsTable(staged)
+        for check in checks:
+            check(spark.table(staged))
+    except Exception:
+        spark.sql(f"DROP TABLE IF EXISTS {staged}")
+        _delete(spark, path)
+        raise
+    full = f"{schema}.{name}"
+    known = spark.catalog.tableExists(full)
+    if known and _same_shape(spark, full, staged):
+        spark.sql(f"ALTER TABLE {full} SET LOCATION '{path}'")
+        spark.sql(f"DROP TABLE {staged}")  # the files stay: the table was made with a path
+    else:
+        spark.sql(f"DROP TABLE IF EXISTS {full}")
+        spark.sql(f"ALTER TABLE {staged} RENAME TO {full}")
+    spark.catalog.refreshTable(full)
+    _expire(spark, folder, version, keep)
+    return spark.table(full)
+
+
+def _same_shape(spark: SparkSession, table: str, other: str) -> bool:
+    """Whether both are tables over a path with the same columns."""
+    made_so = spark.catalog.getTable(table).tableType == "EXTERNAL"
+    return made_so and spark.table(table).schema == spark.table(other).schema
 
 
 def read_table(spark: SparkSession, table: str) -> DataFrame:
@@ -111,7 +184,7 @@ def read_table(spark: SparkSession, table: str) -> DataFrame:
 
 def refresh_catalog(catalog: DataFrame, table: str, location: str | None = None) -> DataFrame:
     """Full refresh of the raw catalogue, in its declared column order."""
-    return refresh_table(catalog.select(*CATALOG_SCHEMA.names), table, location)
+    return refresh_table(catalog.select(*CATALOG_SCHEMA.names), table, location, checks=[not_empty])
 
 
 def table_store(
@@ -125,13 +198,65 @@ def table_store(
     return store
 
 
+_POINTER = "_CURRENT"
+
+
+def current_version(spark: SparkSession, folder: str) -> str | None:
+    """The version a folder's pointer names, if it has one."""
+    place, files = _file_system(spark, f"{folder}/{_POINTER}")
+    if not files.exists(place):
+        return None
+    stream = files.open(place)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def _point_to(spark: SparkSession, folder: str, version: str) -> None:
+    """Replace the pointer by one rename, which no reader can see half done."""
+    jvm = spark.sparkContext._jvm
+    draft, files = _file_system(spark, f"{folder}/{_POINTER}.{version}")
+    out = files.create(draft)
+    out.write(bytearray(version.encode()))
+    out.close()
+    place = jvm.org.apache.hadoop.fs.Path(f"{folder}/{_POINTER}")
+    options = jvm.org.apache.hadoop.fs.Options.Rename
+    array = spark.sparkContext._gateway.new_array(options, 1)
+    array[0] = options.OVERWRITE
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(files.getUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    context.rename(files.makeQualified(draft), files.makeQualified(place), array)
+
+
+def refresh_folder(df: DataFrame, folder: str, checks: Iterable[Check] = (), keep: int = 2) -> DataFrame:
+    """The same for a parquet folder without a catalog: a version of its own, checks, then a pointer file replaced by rename."""
+    spark, version = df.sparkSession, _new_version()
+    path = f"{folder}/{version}"
+    try:
+        df.write.parquet(path)
+        for check in checks:
+            check(spark.read.parquet(path))
+    except Exception:
+        _delete(spark, path)
+        raise
+    _point_to(spark, folder, version)
+    _expire(spark, folder, version, keep)
+    return read_folder(spark, folder)
+
+
+def read_folder(spark: SparkSession, folder: str) -> DataFrame:
+    """The current version of a folder kept by ``refresh_folder``."""
+    version = current_version(spark, folder)
+    if version is None:
+        raise FileNotFoundError(f"{folder} has no current version")
+    return spark.read.parquet(f"{folder}/{version}")
+
+
 def parquet_store(folder: str):
-    """A store for the warehouse that keeps parquet folders on shared storage."""
+    """A store for the warehouse that keeps parquet folders on shared storage, each refreshed by version and pointer."""
 
     def store(layer: str, name: str, df: DataFrame) -> DataFrame:
-        path = f"{folder}/{layer}/{name}"
-        df.write.mode("overwrite").parquet(path)
-        return df.sparkSession.read.parquet(path)
+        return refresh_folder(df, f"{folder}/{layer}/{name}")
 
     return store
 

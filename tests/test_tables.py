@@ -79,6 +79,60 @@ def test_full_refresh_replaces_rows_and_schema(spark):
     assert tuples(tables.refresh_table(second, "refresh_test.t")) == [("x", 2)]
 
 
+def failing(spark):
+    return spark.range(100).selectExpr("cast(if(id = 77, raise_error('lost'), id) as int) a")
+
+
+def test_a_failed_refresh_leaves_the_table_as_it_was(spark):
+    good = spark.createDataFrame([(1,)], "a int")
+    tables.refresh_table(good, "refresh_test.kept")
+    reader = spark.table("refresh_test.kept")
+    for bad, checks in ((failing(spark), []), (good.limit(0), [tables.not_empty])):
+        with pytest.raises(Exception, match="lost|no rows"):
+            tables.refresh_table(bad, "refresh_test.kept", checks=checks)
+        assert tuples(spark.table("refresh_test.kept")) == tuples(reader) == [(1,)]
+    assert [t.name for t in spark.catalog.listTables("refresh_test") if t.name.startswith("kept")] == ["kept"]
+    folder = spark.catalog.getDatabase("refresh_test").locationUri + "/kept.versions"
+    assert len(tables._folders(spark, folder)) == 1
+
+
+def test_a_reader_that_has_begun_keeps_its_version(spark):
+    one, two = (spark.createDataFrame([(i,)], "a int") for i in (1, 2))
+    tables.refresh_table(one, "refresh_test.versions")
+    begun = tables.read_table(spark, "refresh_test.versions")
+    assert tuples(begun) == [(1,)]
+    assert tuples(tables.refresh_table(two, "refresh_test.versions")) == [(2,)]
+    assert tuples(begun) == [(1,)]
+    for _ in range(3):
+        tables.refresh_table(two, "refresh_test.versions")
+    folder = spark.catalog.getDatabase("refresh_test").locationUri + "/versions.versions"
+    assert len(tables._folders(spark, folder)) == 2
+
+
+def test_a_table_of_another_making_is_replaced(spark):
+    spark.sql("create schema if not exists refresh_test")
+    spark.createDataFrame([(1,)], "a int").write.mode("overwrite").saveAsTable("refresh_test.managed")
+    assert tuples(tables.refresh_table(spark.createDataFrame([(2,)], "a int"), "refresh_test.managed")) == [(2,)]
+    assert tuples(tables.refresh_table(spark.createDataFrame([(3,)], "a int"), "refresh_test.managed")) == [(3,)]
+
+
+def test_folders_are_refreshed_by_pointer(spark, tmp_path):
+    folder = str(tmp_path / "t")
+    with pytest.raises(FileNotFoundError):
+        tables.read_folder(spark, folder)
+    first = tables.refresh_folder(spark.createDataFrame([(1,)], "a int"), folder)
+    with pytest.raises(Exception, match="lost"):
+        tables.refresh_folder(failing(spark), folder)
+    with pytest.raises(ValueError, match="no rows"):
+        tables.refresh_folder(spark.createDataFrame([], "a int"), folder, checks=[tables.not_empty])
+    assert tuples(tables.read_folder(spark, folder)) == [(1,)]
+    assert tuples(tables.refresh_folder(spark.createDataFrame([("x",)], "b string"), folder)) == [("x",)]
+    assert tuples(first) == [(1,)]
+    versions = [p.name for p in (tmp_path / "t").iterdir() if p.is_dir()]
+    assert len(versions) == 2
+    assert tables.current_version(spark, folder) == max(versions)
+
+
 def test_seeds_catalogue_and_stored_run(spark, tmp_path):
     """CSV seeds and a stored catalogue in, all marts out as tables under their routed names."""
     raw = raw_tables(spark, "/root/testdata/sf0.001")
