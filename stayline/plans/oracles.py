@@ -539,6 +539,17 @@ union all select 'churn_rate', avg(label) from stratified_split"""
 CTES["score_agreement"] = """select customer_id, true prediction_agrees, true tier_agrees, true is_probability
 from dim_customer"""
 CTES["importance_names"] = f"select unnest([{', '.join(repr(c) for c in FEATURES)}]) feature"
+CTES["planted_ratings"] = """select *, substr(md5(rating_id), 1, 1) kind,
+concat_ws(',', rating_id, customer_id, content_id) ids, ifnull(cast(rated_at as varchar), '') as rated,
+ifnull(cast(rating as varchar), '') as stars from raw_user_ratings"""
+CTES["csv_checked_kept"] = """select rating_id, customer_id, content_id, rating, rated_at from planted_ratings
+where kind not in ('0', '1', '2', '3', '4')"""
+CTES["csv_checked_rejects"] = """select case kind when '0' then ids || ',five,' || rated
+when '1' then ids || ',' || stars || ',2024-13-45' when '2' then ids || ',' || stars
+when '3' then ids || ',' || stars || ',' || rated || ',x' else ids || ',n/a,soon' end record,
+case kind when '0' then 'bad int: rating' when '1' then 'bad date: rated_at' when '4' then 'bad int: rating; bad date: rated_at'
+else 'malformed record' end reasons, true has_line
+from planted_ratings where kind in ('0', '1', '2', '3', '4')"""
 CTES["importance_file"] = "select feature, true is_share from importance_names"
 CTES["score_walk"] = "select customer_id, true score_agrees from dim_customer"
 CTES["ledger_checks"] = """select cast(t as integer) tree, true is_binary, true covers_add_up, true gains_enough,

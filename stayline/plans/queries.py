@@ -16,7 +16,7 @@ from stayline.plans.checks import CHECKS, KINDS
 from stayline.plans.warehouse import MARTS, STAGING, Warehouse
 from stayline.schemas import CATALOG_SCHEMA, RAW_SCHEMAS
 from stayline.session import cut_lineage, prepare, run_key, scratch_path
-from stayline.sources import pages, samples, tables
+from stayline.sources import pages, rejects, samples, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 LOADED_AT = datetime(2024, 6, 29, 6)
@@ -82,6 +82,29 @@ def _csv_round_trip(name: str) -> Query:
     return query
 
 
+def _faulty_ratings(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The ratings as CSV lines, faults planted by the hash of the id, read by the reader that sets bad records aside."""
+    raw = samples.raw_tables(prepare(spark), sf_dir)["raw_user_ratings"]
+    kind = F.substring(F.md5("rating_id"), 1, 1)
+    fields = F.concat_ws(
+        ",",
+        "rating_id",
+        "customer_id",
+        "content_id",
+        F.when(kind == "0", "five").when(kind == "4", "n/a").otherwise(F.coalesce(F.col("rating").cast("string"), F.lit(""))),
+    )
+    day = F.when(kind == "1", "2024-13-45").when(kind == "4", "soon").otherwise(F.coalesce(F.col("rated_at").cast("string"), F.lit("")))
+    line = F.when(kind == "2", fields).when(kind == "3", F.concat_ws(",", fields, day, F.lit("x"))).otherwise(F.concat_ws(",", fields, day))
+    folder = scratch_path(spark, "faulty")
+    raw.select(line.alias("value")).write.text(folder)
+    return rejects.read_csv_checked(spark, folder, RAW_SCHEMAS["raw_user_ratings"], header=False)
+
+
+def _rejected_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rejected = _faulty_ratings(spark, sf_dir)[1]
+    return rejected.select("record", F.array_join("reasons", "; ").alias("reasons"), (F.col("line") > 0).alias("has_line"))
+
+
 def _seeds_to_feature_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Seeds written as CSV, the catalogue as a table of the session catalog under its routed name, all read back, and every
     mart stored under its own routed name on the way to the feature table."""
@@ -288,6 +311,8 @@ QUERIES: dict[str, Query] = {
     "ml_feature_store": _table("ml_churn_feature_store"),
     "ml_feature_store_stored": _stored_run,
     **{f"csv_seed_{name.removeprefix('raw_')}": _csv_round_trip(name) for name in RAW_SCHEMAS},
+    "csv_checked_kept": lambda spark, sf_dir: _faulty_ratings(spark, sf_dir)[0],
+    "csv_checked_rejects": _rejected_ratings,
     "seeds_to_feature_store": _seeds_to_feature_store,
     "dq_not_null": _stored_checks("not_null"),
     "dq_unique": _stored_checks("unique"),

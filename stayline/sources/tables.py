@@ -21,7 +21,7 @@ from stayline.schemas import (
 # Fixed values of the output routing.
 PROD_CATALOG, RAW_SCHEMA, PROD_SCHEMA = "prod", "dbo_raw", "dbo"
 
-_CSV = {
+CSV_OPTIONS = {
     "header": "true",
     "dateFormat": "yyyy-MM-dd",
     "timestampFormat": "yyyy-MM-dd HH:mm:ss[.SSSSSS]",
@@ -34,12 +34,12 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
 
     An empty field is NULL, as the tools that write these files mean it; text cannot be empty.
     """
-    return spark.read.options(**_CSV, mode="FAILFAST").schema(schema).csv(path)
+    return spark.read.options(**CSV_OPTIONS, mode="FAILFAST").schema(schema).csv(path)
 
 
 def write_csv(df: DataFrame, path: str, single_header_file: bool = False) -> None:
     """Written in parallel, one file per task; a small report may ask for one file."""
-    (df.coalesce(1) if single_header_file else df).write.mode("overwrite").options(**_CSV).csv(path)
+    (df.coalesce(1) if single_header_file else df).write.mode("overwrite").options(**CSV_OPTIONS).csv(path)
 
 
 def read_seeds(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
