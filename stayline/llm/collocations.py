@@ -259,9 +259,9 @@ def counted(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, lang: s
 
     answers = (
         listed.select("shard", "lang", "place", F.col("own.words").alias("word"))
-        .join(words.select("lang", "word", "id"), ["lang", "word"])
-        .groupBy("shard", "lang")
-        .agg(F.collect_list(F.struct("place", "id")).alias("own"))
+        .join(words.select("lang", "word", "id"), ["lang", "word"], "left")
+        .groupBy("shard")
+        .agg(F.collect_list(F.when(F.col("id").isNotNull(), F.struct("place", "id"))).alias("own"))
         .select("shard", F.col("own.place").alias("places"), F.col("own.id").alias("ids"))
     )
     emitted = cut_lineage(first_level(lines.select("shard", "lang", "line").join(answers, "shard"), bits))
