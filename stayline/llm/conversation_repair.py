@@ -9,8 +9,8 @@ audits of which one begins the other (that would take a further insertion), so t
 
 A conversation of any length is spread: rows are laid out by range of (conversation, turn, role, text), every task cuts what it
 holds of a conversation into blocks of ``BLOCK`` rows and runs one agenda per block and state it may be entered in. The blocks of a
-conversation are then joined in order, which needs at most sixteen weights a block and no text. Equal rows are one row with a
-number of copies before any of this.
+conversation are then joined in order, which needs at most sixteen weights a block and no text. Equal rows are put together, batch by batch, before
+any of this. Texts are compared by their SHA-256 where a conversation repeats itself.
 
 Roles put out follow ``(s?(ua)+)?`` by their initials. Defined cases: a null role or text is one blank; a null conversation id
 is a conversation of its own; rows of one turn are taken by role and text, null turns first; a role of no letter that the automaton knows
@@ -132,39 +132,50 @@ def damaged(conversations: DataFrame) -> DataFrame:
     )
 
 
+def _combined(rows: DataFrame) -> DataFrame:
+    """Equal rows of a batch as one row with the sum of their copies: copies by the million go into few rows before any shuffle."""
+
+    def combine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                names = [name for name in batch.schema.names if name != "copies"]
+                whole = pa.Table.from_batches([batch]).group_by(names, use_threads=False).aggregate([("copies", "sum")])
+                yield from whole.rename_columns([*names, "copies"]).to_batches()
+
+    return rows.mapInArrow(combine, rows.schema)
+
+
 def _judged(rows: DataFrame) -> DataFrame:
-    """One row per distinct row, with its number of copies, whether its role and text come earlier, and how its text ends."""
+    """Rows with their number of copies, whether their role and text come in an earlier turn, and how their text ends."""
     gone = F.col("copies") == 0
-    counted = (
-        rows.select(
-            "conv_id",
-            "turn",
-            F.when(gone, "").otherwise(F.coalesce("role", F.lit(" "))).alias("role"),
-            F.when(gone, "").otherwise(F.coalesce("text", F.lit(" "))).alias("text"),
-            gone.alias("gone"),
-            "copies",
-        )
-        .groupBy("conv_id", "turn", "role", "text", "gone")
-        .agg(F.sum("copies").alias("copies"))
+    plain = rows.select(
+        "conv_id",
+        "turn",
+        F.when(gone, "").otherwise(F.coalesce("role", F.lit(" "))).alias("role"),
+        F.when(gone, "").otherwise(F.coalesce("text", F.lit(" "))).alias("text"),
+        gone.alias("gone"),
+        F.col("copies").cast("long").alias("copies"),
     )
+    digest = F.unhex(F.sha2("text", 256))
     # Role and text of a conversation that come in more than one turn, with the first of these; a null turn is the first of all.
-    again = (
-        counted.where(~F.col("gone"))
-        .groupBy("conv_id", "role", "text")
-        .agg(F.min(F.struct("turn")).alias("first"), F.count("*").alias("n"))
-        .where("n > 1")
-        .select(*(F.col(c).alias(f"_{c}") for c in ("conv_id", "role", "text")), "first")
+    # Stored, so that the join knows how few they are.
+    again = cut_lineage(
+        plain.where(~F.col("gone"))
+        .groupBy(F.col("conv_id").alias("_conv_id"), F.col("role").alias("_role"), digest.alias("_digest"))
+        .agg(F.min("turn").alias("_first"), F.max("turn").alias("_last"), F.bool_or(F.col("turn").isNull()).alias("_open"))
+        .where("_first <> _last or (_open and _first is not null)")
     )
-    same: Column = F.col("conv_id").eqNullSafe(F.col("_conv_id")) & (F.col("role") == F.col("_role")) & (F.col("text") == F.col("_text"))
+    same: Column = F.col("conv_id").eqNullSafe(F.col("_conv_id")) & (F.col("role") == F.col("_role")) & (digest == F.col("_digest"))
+    later = F.when(F.col("_open"), F.col("turn").isNotNull()).otherwise(F.col("turn") != F.col("_first"))
     body = F.rtrim("text", F.lit(BLANKS))
-    return counted.join(again, same & ~F.col("gone"), "left").select(
+    return _combined(plain).join(again, same & ~F.col("gone"), "left").select(
         "conv_id",
         "turn",
         "role",
         "text",
         "gone",
         "copies",
-        (F.col("first").isNotNull() & ~F.col("first.turn").eqNullSafe(F.col("turn"))).alias("later"),
+        F.coalesce(later, F.lit(False)).alias("later"),
         (body == "").alias("blank"),
         F.right(body, F.lit(1)).isin(".", "!", "?").alias("ended"),
     )
@@ -194,6 +205,7 @@ def blocks(rows: DataFrame) -> DataFrame:
         "roles array<string>, texts array<string>, more array<bigint>",
     )
     arrow = to_arrow_schema(shape)
+    order = ["conv_id", "turn", "role", "text", "gone"]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, number = TaskContext.get().partitionId(), 0
@@ -235,6 +247,9 @@ def blocks(rows: DataFrame) -> DataFrame:
 
         for batch in batches:
             for row in batch.to_pylist():
+                if held and all(row[c] == held[-1][c] for c in order):
+                    held[-1]["copies"] += row["copies"]
+                    continue
                 if before is None:
                     before = row["conv_id"], False
                 elif before[0] != row["conv_id"]:
@@ -252,7 +267,6 @@ def blocks(rows: DataFrame) -> DataFrame:
         if out:
             yield _arrow(out, arrow)
 
-    order = ["conv_id", "turn", "role", "text"]
     laid_out = _judged(rows).repartitionByRange(*order).sortWithinPartitions(*order)
     return laid_out.mapInArrow(cut, shape)
 
