@@ -27,13 +27,14 @@ from pyspark.sql import functions as F
 
 from stayline.llm import ragged
 from stayline.llm.lexicon import Lexicon
-from stayline.llm.token_counts import slices, small_batches
 from stayline.session import cut_lineage, shared_dir
 
 # Words of the lexicon; the rest of the corpus is merged.
 LEXICON_WORDS = 40_000
 # Distinct words a task holds while it counts, or remembers while it encodes.
-HELD_WORDS = 100_000
+HELD_WORDS = 250_000
+# Bytes of text cut and encoded at a time.
+SLICE_BYTES = 1_000_000
 # Fixed value: the cut of a byte-level vocabulary, with blanks as Unicode has them.
 PATTERN = (
     r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+"
@@ -41,7 +42,23 @@ PATTERN = (
 )
 
 
-MARKS = frozenset(".,;:!?|")
+def pre_tokens(special: dict[str, int]):
+    """A function from a text to its pre-tokens; special strings come out as pre-tokens of their own."""
+    import regex
+
+    find = regex.compile(PATTERN).findall
+    cut = regex.compile("(" + "|".join(map(regex.escape, sorted(special, key=len, reverse=True))) + ")")
+    marks = tuple(special)
+
+    def of(text: str) -> list[str]:
+        for mark in marks:
+            if mark in text:
+                break
+        else:
+            return find(text)
+        return [t for part in cut.split(text) if part for t in ([part] if part in special else find(part))]
+
+    return of
 
 
 @dataclass
@@ -78,23 +95,14 @@ class Vocabulary:
             spelled[i] = word.encode()
         return cls(np.array([vocab[char_of[b]] for b in range(256)], np.int32), table, special, spelled)
 
-    def pre_tokens(self):
-        """A function from a text to its pre-tokens; special strings come out as pre-tokens of their own."""
-        import regex
-
-        find = regex.compile(PATTERN).findall
-        cut = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")")
-        marks = tuple(self.special)
-
-        def of(text: str) -> list[str]:
-            for mark in marks:
-                if mark in text:
-                    break
-            else:
-                return find(text)
-            return [t for part in cut.split(text) if part for t in ([part] if part in self.special else find(part))]
+    def plain(self) -> tuple:
+        """What encoding needs, as arrays and a dictionary: a broadcast names no class of this package, which executors may lack."""
+        return self.of_byte, (self.table.keys, self.table.ranks, self.table.merged), self.special
 
-        return of
+    @classmethod
+    def of(cls, plain: tuple) -> Vocabulary:
+        of_byte, table, special = plain
+        return cls(of_byte, ragged.PairTable(*table), special, [])
 
     def spelled_arrays(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """The bytes of all ids in one array, with the first byte and the length of each."""
@@ -105,8 +113,13 @@ class Vocabulary:
         """The ids of all words, none of them empty, one word after the other by merging, and how many each has."""
         if not words:
             return np.empty(0, np.int32), np.empty(0, np.int64)
-        flat = self.of_byte[np.frombuffer(b"".join(words), np.uint8)]
-        return ragged.merge(flat, np.fromiter(map(len, words), np.int64, len(words)), self.table)
+        return self.merged_in(np.frombuffer(b"".join(words), np.uint8), np.fromiter(map(len, words), np.int64, len(words)))
+
+    def merged_in(self, flat: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The same for words that follow each other in one array of bytes."""
+        if not len(lengths):
+            return np.empty(0, np.int32), np.empty(0, np.int64)
+        return ragged.merge(self.of_byte[flat], lengths, self.table)
 
 
 def gathered(flat: np.ndarray, first: np.ndarray, sizes: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -118,19 +131,12 @@ def gathered(flat: np.ndarray, first: np.ndarray, sizes: np.ndarray, codes: np.n
     return flat[places], ends
 
 
-def pieces(text: str) -> list[str]:
-    """The text cut before blanks and around line ends. Where ``is_plain`` holds for all pieces, the pre-tokens of the text
-    are those of its pieces, one after the other: no pre-token reaches over such a place."""
-    if "\1" in text:
-        # The text holds the mark of the quick way below: the same cuts, line by line.
-        out = []
-        for line in text.split("\n"):
-            first, *words = line.split(" ")
-            out += ["\n", first, *(f" {word}" for word in words)]
-        out = out[1:]
-    else:
-        out = text.replace(" ", "\1 ").replace("\n", "\1\n\1").split("\1")
-    return out[out[0] == "" : len(out) - (len(out) > 1 and out[-1] == "")]
+# A mark that the quick cut below puts where texts are cut; texts that hold it are cut by the pattern.
+CUT = "\1"
+# Pieces of which the pre-tokens are plain to see: letters, or letters with one mark behind them. Only letters that every
+# edition of the tables calls so; other pieces take the slow way.
+WORD = "^ ?[A-Za-zÀ-ÖØ-öø-ÿ]+$"
+MARKED = "^ ?[A-Za-zÀ-ÖØ-öø-ÿ]+[.,;:!?|]$"
 
 
 def is_plain(piece: str) -> bool:
@@ -139,42 +145,118 @@ def is_plain(piece: str) -> bool:
     return piece == "\n" or core != "" and not core[0].isspace() and not core[-1].isspace()
 
 
+class Numbers(dict):
+    """Numbers pieces as they come, the empty one 0; ``fresh`` holds those that came since it was emptied."""
+
+    def __init__(self) -> None:
+        super().__init__({"": 0})
+        self.fresh: list[str] = []
+
+    def __missing__(self, piece: str) -> int:
+        self[piece] = number = len(self)
+        self.fresh.append(piece)
+        return number
+
+    def of(self, pieces: list[str]) -> np.ndarray:
+        return np.fromiter(map(self.__getitem__, pieces), np.int64, len(pieces))
+
+
+def cut_texts(texts: list[str | None], numbers: Numbers) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The texts cut before blanks and around line ends: the numbers of all pieces, where each text's pieces end, and which texts
+    must be cut by the pattern whatever their pieces are.
+
+    Where ``is_plain`` holds for all pieces of a text, its pre-tokens are those of its pieces, one after the other: no pre-token
+    reaches over such a place. The first and last piece of a text may be empty; an empty one elsewhere stands between two cuts,
+    and the text is not plain.
+    """
+    pieces: list[str] = []
+    stops, doubtful = np.zeros(len(texts), np.int64), np.zeros(len(texts), bool)
+    for i, text in enumerate(texts):
+        if text:
+            if CUT in text:
+                doubtful[i] = True
+            else:
+                pieces += text.replace(" ", f"{CUT} ").replace("\n", f"{CUT}\n{CUT}").split(CUT)
+        stops[i] = len(pieces)
+    codes = numbers.of(pieces)
+    empty = codes == 0
+    own = np.flatnonzero(np.diff(stops, prepend=0))
+    empty[stops[own] - 1] = False
+    empty[np.append(0, stops)[own]] = False
+    doubtful[np.searchsorted(stops, np.flatnonzero(empty), side="right")] = True
+    return codes, stops, doubtful
+
+
+def holding(marks: np.ndarray, stops: np.ndarray) -> np.ndarray:
+    """Which texts hold a marked piece."""
+    out = np.zeros(len(stops), bool)
+    out[np.searchsorted(stops, np.flatnonzero(marks), side="right")] = True
+    return out
+
+
+def arrow_slices(column: pa.Array, size: int = SLICE_BYTES) -> Iterator[tuple[int, pa.Array]]:
+    """Parts of a column of about ``size`` bytes, one text at least, with the place they begin at."""
+    lengths = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    ends, at = np.cumsum(lengths), 0
+    while at < len(column):
+        before = ends[at - 1] if at else 0
+        stop = max(at + 1, int(np.searchsorted(ends, before + size, side="right")))
+        yield at, column.slice(at, stop - at)
+        at = stop
+
+
 def frequent_words(df: DataFrame, vocabulary: Vocabulary, limit: int, text: str = "text") -> list[str]:
     """Pre-tokens of all rows from a count on: the lowest at which they are at most ``limit``.
 
     Counts are grouped on a logarithmic scale of eight steps an octave, so that a few hundred numbers find that count, and only
     words of the lexicon reach the driver."""
-    shared = df.sparkSession.sparkContext.broadcast(vocabulary)
+    special = vocabulary.special
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cut, seen = shared.value.pre_tokens(), Counter()
-        checked: set[str] = set()
-        odd: set[str] = set()
+        cut = pre_tokens(special)
+        numbers, times, odd = Numbers(), np.zeros(1, np.int64), np.zeros(1, bool)
 
         def flush() -> pa.RecordBatch:
-            words = Counter()
-            for piece, n in seen.items():
+            own, n = pa.array(list(numbers)[: len(times)], pa.string()), times
+            is_word = pc.match_substring_regex(own, WORD).to_numpy(zero_copy_only=False)
+            is_marked = pc.match_substring_regex(own, MARKED).to_numpy(zero_copy_only=False)
+            marked, others = own.filter(pa.array(is_marked)), Counter()
+            for mark, m in zip(pc.utf8_slice_codeunits(marked, -1).to_pylist(), n[is_marked].tolist(), strict=True):
+                others[mark] += m
+            rest = ~(is_word | is_marked)
+            for piece, m in zip(own.filter(pa.array(rest)).to_pylist(), n[rest].tolist(), strict=True):
                 for word in cut(piece):
-                    words[word] += n
-            seen.clear()
-            checked.clear()
-            return pa.RecordBatch.from_pydict(
-                {"word": pa.array(words.keys(), pa.string()), "n": pa.array(words.values(), pa.int64())}
-            )
+                    others[word] += m
+            words = [own.filter(pa.array(is_word)), pc.utf8_slice_codeunits(marked, 0, -1), pa.array(others.keys(), pa.string())]
+            counts = np.concatenate([n[is_word], n[is_marked], np.fromiter(others.values(), np.int64, len(others))])
+            table = pa.table({"word": pa.concat_arrays(words), "n": counts}).group_by("word", use_threads=False)
+            summed = table.aggregate([("n", "sum")]).combine_chunks()
+            return pa.RecordBatch.from_arrays([c.chunk(0) if c.num_chunks else pa.array([], c.type) for c in summed.columns], ["word", "n"])
+
+        def grown() -> None:
+            nonlocal odd, times
+            fresh, numbers.fresh = numbers.fresh, []
+            odd = np.concatenate((odd, np.fromiter((not is_plain(p) for p in fresh), bool, len(fresh))))
+            times = np.concatenate((times, np.zeros(len(fresh), np.int64)))
 
         for batch in batches:
-            for body in batch.column(0):
-                whole = body.as_py() or ""
-                own = pieces(whole)
-                new = set(own) - checked
-                checked.update(new)
-                odd.update(piece for piece in new if not is_plain(piece))
-                seen.update(own if odd.isdisjoint(own) else cut(whole))
-                if len(seen) > HELD_WORDS:
+            for _, part in arrow_slices(batch.column(0)):
+                texts = part.to_pylist()
+                codes, stops, doubtful = cut_texts(texts, numbers)
+                grown()
+                whole = doubtful | holding(odd[codes], stops)
+                if whole.any():
+                    codes = codes[~np.repeat(whole, np.diff(stops, prepend=0))]
+                    words = numbers.of([w for i in np.flatnonzero(whole).tolist() for w in cut(texts[i])])
+                    grown()
+                    times += np.bincount(words, minlength=len(times))
+                times += np.bincount(codes, minlength=len(times))
+                if len(numbers) > HELD_WORDS:
                     yield flush()
+                    numbers, times, odd = Numbers(), np.zeros(1, np.int64), np.zeros(1, bool)
         yield flush()
 
-    counts = small_batches(df).select(text).mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    counts = df.select(text).mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
     counted = cut_lineage(counts.withColumn("step", F.floor(F.log2(F.col("n").cast("double")) * 8)))
     taken, least = 0, None
     for row in sorted(counted.groupBy("step").count().collect(), key=lambda r: -r["step"]):
@@ -209,50 +291,80 @@ class Encoder:
     """Encodes slices of texts in a task. Ids of the pieces seen so far are held in flat arrays, bounded by HELD_WORDS."""
 
     def __init__(self, vocabulary: Vocabulary, lexicon: Lexicon) -> None:
-        self.vocabulary, self.lexicon, self.cut = vocabulary, lexicon, vocabulary.pre_tokens()
+        self.vocabulary, self.lexicon, self.cut = vocabulary, lexicon, pre_tokens(vocabulary.special)
         self._forget()
 
     def _forget(self) -> None:
-        self.number: dict[str, int] = {}
-        self.odd: set[str] = set()
-        self.flat, self.sizes = np.empty(0, np.int32), np.empty(0, np.int64)
+        self.numbers, self.odd = Numbers(), np.zeros(1, bool)
+        self.flat, self.sizes = np.empty(0, np.int32), np.zeros(1, np.int64)
 
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts, one after the other, and where each text's ids end."""
-        if len(self.number) > HELD_WORDS:
+        if len(self.numbers) > HELD_WORDS:
             self._forget()
-        cuts = [pieces(text) if text else [] for text in texts]
-        self._learn(set().union(*cuts).difference(self.number))
-        if self.odd:
-            odd = [i for i, own in enumerate(cuts) if not self.odd.isdisjoint(own)]
-            for i in odd:
-                cuts[i] = self.cut(texts[i])
-            self._learn(set().union(*(cuts[i] for i in odd)).difference(self.number))
-        codes = np.fromiter(map(self.number.__getitem__, itertools.chain.from_iterable(cuts)), np.int64)
+        codes, stops, doubtful = cut_texts(texts, self.numbers)
+        self._learn()
+        whole = doubtful | holding(self.odd[codes], stops)
+        if whole.any():
+            parts = np.split(codes, stops[:-1])
+            for i in np.flatnonzero(whole).tolist():
+                parts[i] = self.numbers.of(self.cut(texts[i]))
+            self._learn()
+            codes, stops = np.concatenate(parts), np.cumsum([len(part) for part in parts])
         ids, ends = gathered(self.flat, np.cumsum(self.sizes) - self.sizes, self.sizes, codes)
-        return ids, np.append(0, ends)[np.cumsum([len(own) for own in cuts])]
-
-    def _learn(self, new: set[str]) -> None:
-        own, parts = list(new), []
-        for piece in own:
-            core = piece[1:] if piece[:1] == " " else piece
-            # Most pieces are letters, perhaps with a mark behind them: their pre-tokens are plain to see.
-            if core.isalpha():
-                parts.append((piece,))
-            elif core[-1:] in MARKS and core[:-1].isalpha():
-                parts.append((piece[:-1], piece[-1]))
-            else:
-                parts.append(self.cut(piece))
-                if not is_plain(piece):
-                    self.odd.add(piece)
+        return ids, np.append(0, ends)[stops]
+
+    def _learn(self) -> None:
+        """Ids and kind of the pieces that came since the last time, in the order of their numbers."""
+        new, self.numbers.fresh = self.numbers.fresh, []
+        if not new:
+            return
+        column = pa.array(new, pa.string())
+        is_word = pc.match_substring_regex(column, WORD).to_numpy(zero_copy_only=False)
+        is_marked = pc.match_substring_regex(column, MARKED).to_numpy(zero_copy_only=False)
+        simple = np.flatnonzero(is_word | is_marked)
+        odd, sizes = np.zeros(len(new), bool), np.zeros(len(new), np.int64)
+        # Letters, straight from the bytes of the column; the id of a mark is that of its byte.
+        starts = np.frombuffer(column.buffers()[1], np.int32, len(new) + 1).astype(np.int64)
+        raw = np.frombuffer(column.buffers()[2], np.uint8)
+        lengths = np.diff(starts)[simple] - is_marked[simple]
+        flat, first, own = self._ids_in(raw, starts[simple], lengths)
+        marks = raw[starts[simple] + lengths * is_marked[simple]]
+        ids, ends = gathered(flat, first, own, np.arange(len(simple)))
+        behind = np.flatnonzero(is_marked[simple])
+        ids = np.insert(ids, ends[behind], self.vocabulary.of_byte[marks[behind]])
+        sizes[simple] = own + is_marked[simple]
+        # The others by the pattern.
+        rest = np.flatnonzero(~(is_word | is_marked))
+        parts = [self.cut(new[i]) for i in rest.tolist()]
         number: dict[str, int] = {}
         codes = np.fromiter((number.setdefault(w, len(number)) for w in itertools.chain.from_iterable(parts)), np.int64)
-        flat, first, sizes = self._ids(list(number))
-        ids, ends = gathered(flat, first, sizes, codes)
-        bounds = np.append(0, ends)[np.cumsum([0, *map(len, parts)])]
-        self.number.update(zip(own, range(len(self.number), len(self.number) + len(own)), strict=True))
-        self.sizes = np.concatenate((self.sizes, np.diff(bounds)))
-        self.flat = np.concatenate((self.flat, ids))
+        more, more_ends = gathered(*self._ids(list(number)), codes)
+        bounds = np.append(0, more_ends)[np.cumsum([0, *map(len, parts)])]
+        sizes[rest] = np.diff(bounds)
+        odd[rest] = [not is_plain(new[i]) for i in rest.tolist()]
+        # Flat ids stand in the order of the pieces.
+        both, first = np.concatenate((ids, more)), np.empty(len(new), np.int64)
+        first[simple] = np.cumsum(sizes[simple]) - sizes[simple]
+        first[rest] = len(ids) + np.cumsum(sizes[rest]) - sizes[rest]
+        self.flat = np.concatenate((self.flat, gathered(both, first, sizes, np.arange(len(new)))[0]))
+        self.sizes = np.concatenate((self.sizes, sizes))
+        self.odd = np.concatenate((self.odd, odd))
+
+    def _ids_in(self, raw: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of words that are parts of an array of bytes, with the first place and the number of each word's: those that the
+        automaton has, and the rest by merging."""
+        found = self.lexicon.find_in(raw, starts, lengths)
+        unseen, known = np.flatnonzero(found < 0), np.flatnonzero(found >= 0)
+        unseen_bytes, _ = gathered(raw, starts, lengths, unseen)
+        merged, merged_sizes = self.vocabulary.merged_in(unseen_bytes, lengths[unseen])
+        ends = self.lexicon.id_ends
+        flat = np.concatenate((self.lexicon.ids, merged))
+        first, sizes = np.empty(len(lengths), np.int64), np.empty(len(lengths), np.int64)
+        first[known], sizes[known] = ends[found[known]], ends[found[known] + 1] - ends[found[known]]
+        first[unseen] = len(self.lexicon.ids) + np.cumsum(merged_sizes) - merged_sizes
+        sizes[unseen] = merged_sizes
+        return flat, first, sizes
 
     def _ids(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ids of words in one array, with the first place and the number of each: special ones, those that the automaton
@@ -279,22 +391,20 @@ def encode(
     spark = df.sparkSession
     vocabulary = Vocabulary.load(vocabulary_path)
     name = publish(spark, compiled(vocabulary, frequent_words(df, vocabulary, lexicon_words, text)))
-    shared = spark.sparkContext.broadcast(vocabulary)
+    shared = spark.sparkContext.broadcast(vocabulary.plain())
     kept = [c for c in df.columns if c not in (text, ids)]
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = Encoder(shared.value, Lexicon.mapped(SparkFiles.get(name)))
+        coder = Encoder(Vocabulary.of(shared.value), Lexicon.mapped(SparkFiles.get(name)))
         for batch in batches:
-            at = 0
-            for texts in slices(batch.column(text).to_pylist()):
-                own, stops = coder.encode(texts)
+            for at, texts in arrow_slices(batch.column(text)):
+                own, stops = coder.encode(texts.to_pylist())
                 column = pa.ListArray.from_arrays(pa.array(np.append(0, stops), pa.int32()), pa.array(own, pa.int32()))
                 part = batch.slice(at, len(texts))
                 yield pa.RecordBatch.from_pydict({c: part.column(c) for c in kept} | {ids: column})
-                at += len(texts)
 
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema if f.name in kept]
-    return small_batches(df).mapInArrow(encoded, ", ".join([*fields, f"`{ids}` array<int>"]))
+    return df.mapInArrow(encoded, ", ".join([*fields, f"`{ids}` array<int>"]))
 
 
 def decode(df: DataFrame, vocabulary_path: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
@@ -305,18 +415,17 @@ def decode(df: DataFrame, vocabulary_path: str, ids: str = "ids", text: str = "d
     def decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         flat, first, sizes = shared.value
         for batch in batches:
-            out, column = [], batch.column(ids)
-            for at in range(0, len(column), 256):
-                part = column.slice(at, 256)
-                codes = part.flatten().to_numpy()
-                raw, ends = gathered(flat, first, sizes, codes)
-                counts = np.cumsum(pc.fill_null(pc.list_value_length(part), 0).to_numpy())
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                own = part.column(ids)
+                raw, ends = gathered(flat, first, sizes, own.flatten().to_numpy())
+                counts = np.cumsum(pc.fill_null(pc.list_value_length(own), 0).to_numpy())
                 stops, text_bytes = np.append(0, ends)[counts].tolist(), raw.tobytes()
-                out += [text_bytes[a:b].decode("utf-8", "replace") for a, b in itertools.pairwise([0, *stops])]
-            yield pa.RecordBatch.from_pydict({c: batch.column(c) for c in kept} | {text: pa.array(out, pa.string())})
+                out = [text_bytes[a:b].decode("utf-8", "replace") for a, b in itertools.pairwise([0, *stops])]
+                yield pa.RecordBatch.from_pydict({c: part.column(c) for c in kept} | {text: pa.array(out, pa.string())})
 
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema if f.name in kept]
-    return small_batches(df).mapInArrow(decoded, ", ".join([*fields, f"`{text}` string"]))
+    return df.mapInArrow(decoded, ", ".join([*fields, f"`{text}` string"]))
 
 
 def digest(df: DataFrame, key: str = "doc_id") -> DataFrame:

@@ -118,15 +118,13 @@ def window_blocks(benchmark: DataFrame, window: int, block_windows: int) -> Iter
         yield WindowSet.of(items_of)
 
 
-FOUND = "n_words long, spans array<long>, items array<long>"
-
-
 def _scan_block(df: DataFrame, windows: WindowSet) -> DataFrame:
     """Adds the hits of one block to what earlier blocks found; spans are hit word ranges as start, end, start, end ..."""
-    shared, names = df.sparkSession.sparkContext.broadcast(windows), df.columns
+    # Plain values: a broadcast of the class would need this package on the executors.
+    shared, names = df.sparkSession.sparkContext.broadcast((windows.numbers, windows.by_length)), df.columns
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found = shared.value
+        found = WindowSet(*shared.value)
         for batch in batches:
             out = {"n_words": [], "spans": [], "items": []}
             before = [batch.column(c) for c in ("spans", "items")]
@@ -138,8 +136,7 @@ def _scan_block(df: DataFrame, windows: WindowSet) -> DataFrame:
                 out["spans"].append(edges(hit).tolist())
                 out["items"].append(sorted(items.union(before[1][at].as_py())))
             own = {c: batch.column(c) for c in names if c not in out}
-            kinds = {"n_words": pa.int64(), "spans": pa.list_(pa.int64()), "items": pa.list_(pa.int64())}
-            yield pa.RecordBatch.from_pydict(own | {c: pa.array(v, kinds[c]) for c, v in out.items()})
+            yield pa.RecordBatch.from_pydict(own | {c: pa.array(v, batch.schema.field(c).type) for c, v in out.items()})
 
     return df.mapInArrow(scan, df.schema)
 
@@ -150,9 +147,9 @@ def edges(marks: np.ndarray) -> np.ndarray:
 
 
 def scanned(df: DataFrame, benchmark: DataFrame, window: int, block_windows: int) -> DataFrame:
-    """df with a column ``_text`` gets the columns FOUND. One narrow pass a block; the usual test set is one block."""
-    none = F.array().cast("array<bigint>")
-    out = df.withColumns({"n_words": F.lit(0).cast("long"), "spans": none, "items": none})
+    """df with a column ``_text`` gets ``n_words``, ``spans`` and ``items`` (ids, of the type they have). One narrow pass a block; the usual test set is one block."""
+    spans, items = F.array().cast("array<bigint>"), F.array().cast(f"array<{dict(benchmark.dtypes)['item_id']}>")
+    out = df.withColumns({"n_words": F.lit(0).cast("long"), "spans": spans, "items": items})
     blocks = window_blocks(benchmark, window, block_windows)
     out, more = _scan_block(out, next(blocks, WindowSet({}, {}))), next(blocks, None)
     while more is not None:

@@ -105,11 +105,14 @@ class Lexicon:
 
     def find(self, words: list[bytes]) -> np.ndarray:
         """The number of each word, -1 where it is not in the lexicon. All words walk at the same time, byte by byte."""
-        n = len(words)
-        lengths = np.fromiter(map(len, words), np.int64, n)
+        lengths = np.fromiter(map(len, words), np.int64, len(words))
+        return self.find_in(np.frombuffer(b"".join(words), np.uint8), np.cumsum(lengths) - lengths, lengths)
+
+    def find_in(self, flat: np.ndarray, first: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        """The same for words that are parts of one array of bytes."""
+        n = len(lengths)
         if not n or not len(self.edge_keys):
             return np.full(n, -1)
-        flat, first = np.frombuffer(b"".join(words), np.uint8), np.cumsum(lengths) - lengths
         state, number = np.zeros(n, np.int64), np.zeros(n, np.int64)
         alive, depth = np.flatnonzero(lengths > 0), 0
         number[lengths == 0] = -1

@@ -22,12 +22,13 @@ from stayline.llm import (
     token_counts,
     tool_calls,
 )
+from stayline.session import prepare_texts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return prepare_texts(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -69,6 +69,15 @@ class Pieces:
         assert all(MARK not in piece.lstrip(MARK) for piece in score)
         return cls(of_char, weight, ragged.PairTable.of(*map(np.array, zip(*pairs, strict=True))), "" if "\n" in chars else "\n")
 
+    def plain(self) -> tuple:
+        """The same as arrays: a broadcast names no class of this package, which executors may lack."""
+        return self.of_char, self.weight, (self.table.keys, self.table.ranks, self.table.merged), self.cut
+
+    @classmethod
+    def of(cls, plain: tuple) -> Pieces:
+        of_char, weight, table, cut = plain
+        return cls(of_char, weight, ragged.PairTable(*table), cut)
+
     def pre_tokens(self):
         if self.cut:
             return re.compile(f"{MARK}*[^{MARK}\n]+|{MARK}+|\n").findall
@@ -82,16 +91,6 @@ class Pieces:
         return np.add.reduceat(self.weight[symbols], np.cumsum(sizes) - sizes).tolist()
 
 
-# Texts may be long, so what travels between the engine and a task at one time is few rows.
-BATCH_ROWS = 1000
-
-
-def small_batches(df: DataFrame) -> DataFrame:
-    """Sets the session's batch size for its Arrow functions; the rows are the same."""
-    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
-    return df
-
-
 def slices(texts: list[str | None], size: int = SLICE_CHARS) -> Iterator[list[str]]:
     held, n = [], 0
     for text in texts:
@@ -106,11 +105,11 @@ def slices(texts: list[str | None], size: int = SLICE_CHARS) -> Iterator[list[st
 
 def token_counts(df: DataFrame, model_path: str, text: str = "text", limit: int = 4096) -> DataFrame:
     """The columns of df but the text, with ``n_bytes``, ``n_tokens`` and ``over_limit``; own columns of these names go."""
-    shared = df.sparkSession.sparkContext.broadcast(Pieces.load(model_path))
+    shared = df.sparkSession.sparkContext.broadcast(Pieces.load(model_path).plain())
     kept = [c for c in df.columns if c not in (text, "n_bytes", "n_tokens", "over_limit")]
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = shared.value
+        pieces = Pieces.of(shared.value)
         find, known = pieces.pre_tokens(), {}
         for batch in batches:
             n_bytes, n_tokens = [], []

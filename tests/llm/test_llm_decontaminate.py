@@ -73,3 +73,11 @@ def test_empty_tables(spark):
     assert decontaminate.contamination(docs, empty).collect()[0]["n_hit"] == 0
     assert decontaminate.decontaminated(docs, empty).count() == 1
     assert decontaminate.contamination(documents(spark, []), empty).count() == 0
+
+
+def test_item_ids_may_be_text(spark):
+    docs = documents(spark, [(1, "a b c d e f g h i j k"), (2, "none of it")])
+    items = spark.createDataFrame([("q-1", "a b c d e f g h i j"), ("q-0", "b c d e f g h i j k")], "item_id string, text string")
+    got = {r["doc_id"]: r["items"] for r in decontaminate.contamination(docs, items).collect()}
+    assert got == {1: ["q-0", "q-1"], 2: []}
+    assert decontaminate.digest(decontaminate.contamination(docs, items)).count() == 2
