@@ -18,6 +18,17 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
 }
 
+# Setting for sessions that run Python functions over long texts: what travels to a task at one time is few rows. It holds for the
+# whole session and changes no result; the operators work without it and need more memory then.
+TEXT_CONF = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000"}
+
+
+def prepare_texts(spark: SparkSession) -> SparkSession:
+    """Apply ``TEXT_CONF`` to a session."""
+    for key, value in TEXT_CONF.items():
+        spark.conf.set(key, value)
+    return spark
+
 
 def build_session(app: str = "stayline", master: str | None = None, **conf) -> SparkSession:
     """Session for scripts and tests; a cluster job passes its own."""
