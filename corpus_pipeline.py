@@ -6,14 +6,12 @@ every stage works on all rows that its predecessor kept.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stayline.llm import byte_bpe, decontaminate, near_duplicates, rules, secrets
 from stayline.llm.queries import tokenizer_file
-from stayline.session import shared_dir
+from stayline.session import prepare_texts, scratch_path
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -67,7 +65,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents of sf_dir; each result is written under the shared folder and read back."""
-    docs, folder = spark.read.parquet(f"{sf_dir}/documents.parquet"), f"{shared_dir(spark)}/pipeline-{uuid.uuid4().hex}"
+    docs, folder = prepare_texts(spark).read.parquet(f"{sf_dir}/documents.parquet"), scratch_path(spark, "pipeline")
     for at, (_, stage) in enumerate(STAGES):
         path = f"{folder}/{at}"
         stage(spark, docs, sf_dir).write.parquet(path)
