@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from stayline.functions import vocab
 from stayline.functions.columns import at_least, count_where, day, lookup, mean2, share_of_rows
 from stayline.functions.keys import surrogate_key
+from stayline.operators.ordered import numbered
 
 # Feature names by group, in output order.
 FEATURE_GROUPS: dict[str, tuple[str, ...]] = {
@@ -161,24 +162,60 @@ def watch_measures(fct_watch_event: DataFrame, as_of: date) -> DataFrame:
     )
 
 
-def watch_variety(fct_watch_event: DataFrame) -> DataFrame:
-    """Exact distinct counts per customer."""
-    return fct_watch_event.groupBy("customer_key").agg(
-        F.count_distinct("date_day").alias("total_active_days"),
-        F.count_distinct("content_key").alias("unique_titles_watched"),
-        F.count_distinct("session_id").alias("unique_sessions"),
-        F.count_distinct("device_type").alias("device_count"),
+def dense_numbers(values: DataFrame, column: str, number: str) -> DataFrame:
+    """A dictionary of a table's distinct values of a column: each with a number from 1 on without gaps, given by hash order. No
+    task sees more than its share of the values."""
+    distinct = values.where(F.col(column).isNotNull()).select(column).distinct()
+    hashed = distinct.select(column, F.md5(F.col(column).cast("string")).alias("_hash"), F.lit(1).alias("_all"))
+    return numbered(hashed, "_all", "_hash", number).select(column, number)
+
+
+def _pairs_per_customer(fct_watch_event: DataFrame, column: str, name: str) -> DataFrame:
+    pairs = fct_watch_event.groupBy("customer_key", column).agg(F.lit(1).alias("_one"))
+    return pairs.groupBy("customer_key").agg(F.count(column).alias(name))
+
+
+def watch_variety(fct_watch_event: DataFrame, dim_content: DataFrame | None = None) -> DataFrame:
+    """Exact distinct counts per customer.
+
+    Days and titles are bits of bitmaps, which merge: a map task sends one row per customer whatever the number of viewings, and no
+    row is multiplied. The bit of a day is its number; that of a title comes from a dictionary of ``dim_content``, which has to hold all
+    titles of the fact if it is given. A bitmap covers 2**15 numbers; numbers beyond get bitmaps of their own by their bucket,
+    so the counts are exact for any number of titles. Sessions are hardly ever shared by two viewings, so a dictionary of them
+    would be as long as the fact, and devices are few: both are counted as distinct pairs.
+    """
+    titles = dense_numbers(fct_watch_event if dim_content is None else dim_content, "content_key", "title_no")
+    placed = fct_watch_event.join(titles, "content_key", "left").select(
+        "customer_key",
+        F.datediff("date_day", F.lit("1970-01-01").cast("date")).cast("long").alias("day"),
+        F.col("title_no").cast("long").alias("title"),
+    )
+    kinds = {"day": "total_active_days", "title": "unique_titles_watched"}
+    buckets = {f"{k}_bucket": F.bitmap_bucket_number(k) for k in kinds}
+    maps = placed.withColumns(buckets).groupBy("customer_key", *buckets).agg(
+        *(F.bitmap_construct_agg(F.bitmap_bit_position(k)).alias(k) for k in kinds)
+    )
+    each = F.inline(
+        F.array(*(F.struct(F.lit(k).alias("kind"), F.col(f"{k}_bucket").alias("bucket"), F.col(k).alias("bits")) for k in kinds))
+    )
+    merged = maps.select("customer_key", each).groupBy("customer_key", "kind", "bucket").agg(F.bitmap_or_agg("bits").alias("bits"))
+    counted = merged.groupBy("customer_key").agg(
+        *(F.sum(F.when(F.col("kind") == k, F.bitmap_count("bits")).otherwise(0)).alias(name) for k, name in kinds.items())
+    )
+    return (
+        counted.join(_pairs_per_customer(fct_watch_event, "session_id", "unique_sessions"), "customer_key")
+        .join(_pairs_per_customer(fct_watch_event, "device_type", "device_count"), "customer_key")
+        .select("customer_key", "total_active_days", "unique_titles_watched", "unique_sessions", "device_count")
     )
 
 
-def watch_features(fct_watch_event: DataFrame, as_of: date) -> DataFrame:
+def watch_features(fct_watch_event: DataFrame, as_of: date, dim_content: DataFrame | None = None) -> DataFrame:
     """Both kinds of viewing features, joined on the key they are grouped by.
 
-    In one aggregate the distinct counts would multiply every row and drag all other measures through their shuffle.
-    Apart they read nearly disjoint columns of the stored fact, and only the bare keys take the wide shuffle. Both sides
-    have the same customers; as a left join the distinct counts are dropped from a plan that does not select them.
+    Apart they read nearly disjoint columns of the stored fact. Both sides have the same customers; as a left join the
+    distinct counts are dropped from a plan that does not select them.
     """
-    return watch_measures(fct_watch_event, as_of).join(watch_variety(fct_watch_event), "customer_key", "left")
+    return watch_measures(fct_watch_event, as_of).join(watch_variety(fct_watch_event, dim_content), "customer_key", "left")
 
 
 def watch_recent_features(fct_watch_event: DataFrame, as_of: date) -> DataFrame:
@@ -267,6 +304,7 @@ def feature_table(
     ratings: DataFrame,
     watchlist: DataFrame,
     as_of: date,
+    dim_content: DataFrame | None = None,
 ) -> DataFrame:
     """One row per customer: key, target and the 55 features at ``as_of``.
 
@@ -274,7 +312,7 @@ def feature_table(
     is shuffled once. Ratings and watchlist rows of unknown customers find no partner and drop out by themselves.
     """
     domains = [
-        watch_features(fct_watch_event, as_of),
+        watch_features(fct_watch_event, as_of, dim_content),
         subscription_features(fct_subscription_event),
         support_features(fct_support_interaction, as_of),
         _rating_aggregates(ratings),

@@ -302,7 +302,9 @@ QUERIES: dict[str, Query] = {
     "fct_watch_event_fraction_input": _fraction_input,
     "fct_watch_event_fraction_scaled": lambda spark, sf_dir: _fraction_input(spark, sf_dir, completion_scale=100),
     "feat_customer": _on(lambda w: features.customer_features(w["dim_customer"], w.as_of)),
-    "feat_watch": _columns(lambda w: features.watch_features(w["fct_watch_event"], w.as_of), "customer_key", *WATCH),
+    "feat_watch": _columns(
+        lambda w: features.watch_features(w["fct_watch_event"], w.as_of, w["dim_content"]), "customer_key", *WATCH
+    ),
     "feat_watch_recent": _on(lambda w: features.watch_recent_features(w["fct_watch_event"], w.as_of)),
     "feat_subscription": _on(lambda w: features.subscription_features(w["fct_subscription_event"])),
     "feat_support": _on(lambda w: features.support_features(w["fct_support_interaction"], w.as_of)),

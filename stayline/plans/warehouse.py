@@ -42,6 +42,7 @@ MARTS = {
         w["stg_user_ratings"],
         w["stg_user_watchlist"],
         w.as_of,
+        w["dim_content"],
     ),
 }
 # Staging models stay views, but the deduplicated catalogue is worth storing.

@@ -163,22 +163,23 @@ def test_the_assembly_joins_on_the_grouping_key(spark, conf):
     """Without broadcasts the sides are joined on the key they were grouped by, with no exchange above an aggregate."""
     conf(spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__enabled="false")
     physical = plan(table(spark)).split("== Physical Plan ==")[1]
-    assert physical.count("SortMergeJoin") == 6
-    assert len(re.findall(r"Exchange hashpartitioning\(customer_key#\d+, \d+\)", physical)) == 7
-    # the eighth exchange spreads the exact distinct counts by value before they are gathered by customer
-    assert physical.count("Exchange") == 8
+    # six joins of the domains, two of the distinct counts, and two for the numbers of the titles
+    assert physical.count("SortMergeJoin") == 10
+    # each side of a join on the customer is shuffled by that key once, where its aggregate gathers it
+    assert len(re.findall(r"Exchange hashpartitioning\(customer_key#\d+, \d+\)", physical)) == 9
+    assert "Expand" not in physical
 
 
 def test_the_stored_fact_is_read_by_column(spark, conf, tmp_path):
-    """Measures and distinct counts share two columns of the fact and leave its ids alone."""
+    """Measures and each kind of distinct count read the columns they need and leave the ids of the fact alone."""
     conf(spark__sql__maxMetadataStringLength="2000", spark__sql__debug__maxToStringFields="200")
     store = parquet_store(str(tmp_path))
     fact = Warehouse(raw_tables(spark, "/root/testdata/sf0.001"), AS_OF, store)["fct_watch_event"]
     physical = plan(features.watch_features(fact, AS_OF)).split("== Physical Plan ==")[1]
     scans = [set(re.findall(r"(\w+):", text)) for text in re.findall(r"ReadSchema: struct<([^>]*)>", physical)]
-    assert len(scans) == 2
     assert set.union(*scans) & {"watch_event_key", "watch_event_id", "watch_start_time"} == set()
-    assert set.intersection(*scans) == {"customer_key", "date_day"}
+    for columns in ({"customer_key", "date_day", "content_key"}, {"customer_key", "session_id"}, {"customer_key", "device_type"}):
+        assert scans.count(columns) == 1
 
 
 def test_rows_without_a_customer_id_are_nobodys(spark):
@@ -188,3 +189,26 @@ def test_rows_without_a_customer_id_are_nobodys(spark):
     listed = spark.createDataFrame([("c1", True), (None, True)], "customer_id string, is_watched boolean")
     assert features.rating_features(ratings, known).count() == 1
     assert features.watchlist_features(listed, known).count() == 1
+
+
+def test_distinct_counts_by_bitmaps_equal_plain_ones(spark):
+    """Days before 1970, more titles than one bitmap holds, missing values, and no expansion of rows."""
+    fact = spark.range(60_000).selectExpr(
+        "concat('k', if(id < 45000, 0, id % 50)) customer_key",
+        "if(id % 97 = 0, null, date_add(date'1960-01-01', cast(id * 7919 % 30000 as int))) date_day",
+        "if(id % 89 = 0, null, md5(cast(id % 41000 as string))) content_key",
+        "if(id % 83 = 0, null, concat('s', id div 2)) session_id",
+        "if(id % 5 = 0, null, concat('d', id % 7)) device_type",
+    )
+    names = {"date_day": "total_active_days", "content_key": "unique_titles_watched", "session_id": "unique_sessions", "device_type": "device_count"}
+    want = fact.groupBy("customer_key").agg(*(F.count_distinct(c).alias(name) for c, name in names.items()))
+    for titles in (None, fact.select("content_key")):
+        got = features.watch_variety(fact, titles)
+        assert tuples(got, "customer_key", *names.values()) == tuples(want, "customer_key", *names.values())
+    assert "Expand" not in plan(features.watch_features(watched_fact(spark), AS_OF))
+
+
+def watched_fact(spark):
+    columns = "customer_key string, date_day date, content_key string, session_id string, device_type string, engagement_level string"
+    rest = "watch_duration_minutes int, completion_percentage decimal(5,2), is_resumed boolean, session_duration_bucket string"
+    return spark.createDataFrame([], f"{columns}, {rest}")
