@@ -85,9 +85,14 @@ def remove_intermediates(spark: SparkSession) -> int:
     return len(paths)
 
 
-def run_key(spark: SparkSession, folder: str) -> tuple[str, int, str]:
-    """Names what has been stored for a folder in this application, until intermediates are removed."""
-    return spark.sparkContext.applicationId, _removals, folder
+def run_key(spark: SparkSession, folder: str) -> tuple:
+    """Names what has been stored for a folder in this application, until intermediates are removed or an entry of the folder
+    gets another size or time."""
+    context = spark.sparkContext
+    path = context._jvm.org.apache.hadoop.fs.Path(folder)
+    entries = path.getFileSystem(context._jsc.hadoopConfiguration()).listStatus(path)
+    stamps = sorted((e.getPath().getName(), e.getLen(), e.getModificationTime()) for e in entries)
+    return context.applicationId, _removals, folder, tuple(stamps)
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

@@ -1,5 +1,6 @@
 import os
 
+from stayline import session
 from stayline.session import cut_lineage, remove_intermediates, scratch_path, shared_dir
 
 
@@ -13,3 +14,11 @@ def test_nothing_is_left_after_a_run(spark):
     assert remove_intermediates(spark) == 2
     assert set(os.listdir(shared_dir(spark).removeprefix("file:"))) == before
     assert remove_intermediates(spark) == 0
+
+
+def test_what_is_stored_for_a_folder_is_known_by_its_files(spark, tmp_path):
+    (tmp_path / "a.parquet").write_text("x")
+    first = session.run_key(spark, str(tmp_path))
+    assert session.run_key(spark, str(tmp_path)) == first
+    (tmp_path / "a.parquet").write_text("longer")
+    assert session.run_key(spark, str(tmp_path)) != first
