@@ -141,7 +141,10 @@ MEASURES = (
 
 def apply_rules(df: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text") -> DataFrame:
     """One row per input row with the measures, ``base_failed``, ``failed_rules`` (names) and ``kept``."""
-    return _judged(df, rules, text).drop(ONCE)
+    added = [*MEASURES, "base_failed", "failed_rules", "kept"]
+    whole = df.select(F.struct("*").alias("_doc"), F.col(text).alias("_text"))
+    own = (F.col("_doc")[c].alias(c) for c in df.columns if c not in added)
+    return _judged(whole, rules, "_text").select(*own, *added)
 
 
 def _judged(df: DataFrame, rules: tuple[Rule, ...], text: str) -> DataFrame:

@@ -4,7 +4,7 @@ from fractions import Fraction
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 # Columns whose names clash with those the operators use inside or put out.
-CLASHING = "n_words items spans ids decoded findings redacted _doc _text _key kept label high tags".split()
+CLASHING = "_words _lines _marks _stop _once _n_upper _n_marks _n_lines n_words items spans ids decoded findings redacted _doc _text _key kept label high tags".split()
 
 
 def documents(spark, rows):
