@@ -13,7 +13,6 @@ from __future__ import annotations
 
 import itertools
 import json
-import uuid
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -27,7 +26,7 @@ from pyspark.sql import functions as F
 
 from stayline.llm import ragged
 from stayline.llm.lexicon import Lexicon
-from stayline.session import cut_lineage, shared_dir
+from stayline.session import cut_lineage, scratch_path
 
 # Words of the lexicon; the rest of the corpus is merged.
 LEXICON_WORDS = 40_000
@@ -277,14 +276,13 @@ def compiled(vocabulary: Vocabulary, words: list[str]) -> Lexicon:
 
 def publish(spark: SparkSession, lexicon: Lexicon) -> str:
     """Writes the lexicon once to the shared folder; every executor fetches its own copy. Returns the file's name."""
-    name = f"lexicon-{uuid.uuid4().hex}.bin"
-    jvm, place = spark.sparkContext._jvm, f"{shared_dir(spark)}/{name}"
+    jvm, place = spark.sparkContext._jvm, scratch_path(spark, "lexicon")
     path = jvm.org.apache.hadoop.fs.Path(place)
     out = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(path)
     out.write(bytearray(lexicon.to_bytes()))
     out.close()
     spark.sparkContext.addFile(str(path))
-    return name
+    return path.getName()
 
 
 class Encoder:
