@@ -1,3 +1,4 @@
+import os
 import re
 
 import corpus_pipeline
@@ -6,6 +7,7 @@ from test_llm_decontaminate import plain as contamination
 from test_llm_rules import plain as counts
 
 import __spark_entry__
+from stayline.session import remove_intermediates, shared_dir
 from verify import compare, connect
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -54,11 +56,21 @@ def test_empty_documents_go_through(spark):
 
 def test_registered_queries_of_every_operator():
     names = [n for n in __spark_entry__.queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
     assert "pipeline" in __spark_entry__.queries()
 
 
 def test_queries_that_sql_expresses(spark):
     duck = connect(SF_DIR)
-    for name in ("op4_decontamination", "op10_quality_rules"):
+    for name in ("op4_decontamination", "op10_quality_rules", "op11_phrase_collocations"):
         assert compare(__spark_entry__.queries()[name](spark, SF_DIR), duck, __spark_entry__.oracle_sql()[name]) == []
+
+
+def test_nothing_is_left_after_the_pipeline(spark):
+    folder = shared_dir(spark).removeprefix("file:")
+    remove_intermediates(spark)
+    before = set(os.listdir(folder))
+    assert corpus_pipeline.run(spark, SF_DIR).count() > 0
+    assert set(os.listdir(folder)) - before
+    remove_intermediates(spark)
+    assert set(os.listdir(folder)) == before
