@@ -10,9 +10,9 @@ The weight of a piece comes from its score first and from what the training text
 over all segmentations of the training words (forward and backward recursion), with the vocabulary's own distribution as
 ``PRIOR`` further occurrences. The model is a distribution over texts: weights of pieces and end add up to one.
 
-Shuffled: one row per task and distinct training word, and one per row and distinct rare word. A word that has at least one in
+Shuffled: one row per task and distinct word, and one per row and distinct rare word. A word that has at least one in
 ``FREQUENT`` of all training tokens travels in a broadcast; there are at most ``FREQUENT`` of them, whatever the corpus. All others are rare
-by that rule, so that none can be a hot key of the join that looks up its count.
+by that rule, so that none can be a hot key of the join that looks up its count and probability.
 
 Defined cases: a null or empty text is its end alone; a null id hashes like the empty string; without training rows the
 weights are those of the vocabulary, and base counts are zero; very long texts and words are run in blocks; repeated rows stay
@@ -24,6 +24,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -132,20 +133,24 @@ class Lattice:
 
     def batches(self, words: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         """Words, longest first, a band of characters at a time: their places in the list, their codes and their lengths."""
-        texts = [word.decode("utf-8", "replace") for word in words]
-        order = sorted(range(len(texts)), key=lambda i: -len(texts[i]))
-        at = 0
+        if not words:
+            return
+        # A word holds no line end: these stand before the words.
+        text = (b"\n" + b"\n".join(words)).decode("utf-8", "replace")
+        codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+        starts = np.flatnonzero(codes == 10)
+        codes[codes == MARK] = LITERAL
+        codes[starts] = MARK
+        sizes = np.diff(np.append(starts, len(codes)))
+        order = np.argsort(-sizes, kind="stable")
+        ends, at = np.cumsum(sizes[order]), 0
         while at < len(order):
-            own, size = [], 0
-            while at < len(order) and (not own or size + len(texts[order[at]]) < BAND):
-                own.append(order[at])
-                size += len(texts[order[at]]) + 1
-                at += 1
-            codes = np.frombuffer("".join("\n" + texts[i] for i in own).encode("utf-32-le", "surrogatepass"), np.uint32)
-            codes = codes.astype(np.int64)
-            codes[codes == MARK] = LITERAL
-            codes[codes == 10] = MARK  # a word holds no line end: these stand before the words
-            yield np.array(own), codes, np.array([len(texts[i]) + 1 for i in own])
+            before = ends[at - 1] if at else 0
+            stop = max(at + 1, int(np.searchsorted(ends, before + BAND, side="right")))
+            own = order[at:stop]
+            places = np.repeat(starts[own] - (ends[at:stop] - sizes[own] - before), sizes[own]) + np.arange(ends[stop - 1] - before)
+            yield own, codes[places], sizes[own]
+            at = stop
 
     def forward(self, weight: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Log-sums over all paths to every place of every word, and where each word's places begin."""
@@ -267,30 +272,50 @@ def blocks(raw: bytes) -> Iterator[list[bytes]]:
 
 
 def word_counts(texts: DataFrame) -> DataFrame:
-    """How often each word is in the single text column, as (word binary, c); the end counts once per row, as the empty word."""
+    """Of (text, held_out) rows all words, with how often each is in texts that are not held out, as (word binary, c); the end
+    counts once per row, as the empty word."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: Counter[bytes] = Counter()
+        seen, others = Counter({END: 0}), set()
 
         def flush() -> pa.RecordBatch:
-            out = pa.RecordBatch.from_pydict(
-                {"word": pa.array(seen.keys(), pa.binary()), "c": pa.array(seen.values(), pa.int64())}
-            )
+            others.difference_update(seen)
+            words = pa.array([*seen.keys(), *others], pa.binary())
+            counts = np.zeros(len(words), np.int64)
+            counts[: len(seen)] = np.fromiter(seen.values(), np.int64, len(seen))
             seen.clear()
-            return out
+            others.clear()
+            return pa.RecordBatch.from_pydict({"word": words, "c": pa.array(counts)})
 
         for batch in batches:
-            for raw in batch.column(0).cast(pa.binary()):
-                seen[END] += 1
+            for raw, held in zip(batch.column(0).cast(pa.binary()), batch.column(1).to_pylist(), strict=True):
+                add = others.update if held else seen.update
+                add((END,))
                 for words in blocks(raw.as_py() or b""):
-                    seen.update(words)
-                if len(seen) > HELD_WORDS:
+                    add(words)
+                if len(seen) + len(others) > HELD_WORDS:
                     yield flush()
         yield flush()
 
     return texts.mapInArrow(count, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c"))
 
 
+def scored_words(counts: DataFrame, automaton: tuple, logp: np.ndarray) -> DataFrame:
+    """Adds ``logp``, the natural logarithm of the marginal probability of each word."""
+    shared = counts.sparkSession.sparkContext.broadcast((*automaton, logp))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lattice = Lattice(*shared.value)
+        for batch in batches:
+            words = batch.column(0).to_pylist()
+            scores = lattice.scores([w for w in words if w != END])
+            out = np.full(len(words), lattice.logp[-1])
+            out[np.fromiter((w != END for w in words), bool, len(words))] = scores
+            yield pa.RecordBatch.from_pydict({"word": batch.column(0), "c": batch.column(1), "logp": pa.array(out)})
+
+    return counts.select("word", "c").mapInArrow(run, "word binary, c long, logp double")
+
+
 def fitted(counts: DataFrame, scores: list[float], automaton: tuple, kind: str, rounds: int, prior: float) -> np.ndarray:
     """Log-weights of pieces, bytes and end; one number for each of them reaches the driver in every round."""
     own = weights_of(scores, kind)
@@ -315,7 +340,7 @@ def fitted(counts: DataFrame, scores: list[float], automaton: tuple, kind: str,
             return pa.RecordBatch.from_pydict({"piece": pa.array(at, pa.int64()), "mass": pa.array(total[at])})
 
         learned = (
-            counts.where(F.col("word") != END)
+            counts.where((F.col("word") != END) & (F.col("c") > 0))
             .mapInArrow(expect, "piece long, mass long")
             .groupBy("piece")
             .agg(F.sum(F.col("mass").cast("decimal(38,0)")).alias("mass"))
@@ -345,14 +370,21 @@ def scored(
     pieces, scores = vocabulary(model_path)
     automaton = (*trie(pieces), max(map(len, pieces)))
     held_out = F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit(""))) % 5 == 1
-    counts = cut_lineage(word_counts(docs.where(~held_out).select(text)))
-    total = counts.agg(F.sum("c").alias("n"), F.count("*").alias("v")).first()
+    counts = cut_lineage(word_counts(docs.select(F.col(text), held_out)))
+    total = counts.agg(F.sum("c").alias("n"), F.count_if(F.col("c") > 0).alias("v")).first()
     n_train, n_words = total["n"] or 0, total["v"]
+    logp = fitted(counts, scores, automaton, kind, rounds, prior)
+    words = cut_lineage(scored_words(counts, automaton, logp))
     # At most ``frequent`` words and the end: together they cannot have more than all tokens.
-    is_often = (F.col("c").cast("decimal(20,0)") * frequent >= n_train) | (F.col("word") == END)
-    often = {bytes(r["word"]): r["c"] for r in counts.where(is_often).collect()}
-    shared = spark.sparkContext.broadcast((*automaton, fitted(counts, scores, automaton, kind, rounds, prior)))
-    often_shared = spark.sparkContext.broadcast(often)
+    is_often = ((F.col("c").cast("decimal(20,0)") * frequent >= n_train) & (F.col("c") > 0)) | (F.col("word") == END)
+    often = words.where(is_often).collect()
+    shared = spark.sparkContext.broadcast(
+        (
+            {bytes(r["word"]): i for i, r in enumerate(often)},
+            np.array([[r["c"], r["logp"]] for r in often] or np.empty((0, 2)), float).T,
+            float(logp[-1]),
+        )
+    )
 
     kept = [c for c in docs.columns if c not in (text, *MEASURES)]
     whole = docs.select(
@@ -362,33 +394,21 @@ def scored(
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lattice, counted = Lattice(*shared.value), often_shared.value
-        end_score = float(lattice.logp[-1])
+        place_of, (count_of, logp_of), end_logp = shared.value
+        log_count, is_known = np.log10(count_of + 0.5), count_of > 0
+        end = place_of.get(END, -1)
+        # Words that are looked up by a join: numbered as they come, and per row which of them and how often.
         numbers: dict[bytes, int] = {}
-        names: list[bytes] = []
-        # Words whose count is looked up by a join: row, number of the word, occurrences; rows in order.
         nothing = np.empty(0, np.int64)
         seldom = [(nothing, nothing, nothing)]
-        known = [np.empty((2, 0))]  # per word: log-probability, log10 of its count or nan where that is looked up later
-
-        def learn(tokens: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-            new = list(set(tokens).difference(numbers))
-            if new:
-                numbers.update(zip(new, range(len(numbers), len(numbers) + len(new)), strict=True))
-                c = np.array([counted.get(w, -1) for w in new], float)
-                logc = np.full(len(new), np.nan)
-                np.log10(c + 0.5, out=logc, where=c >= 0)
-                names.extend(new)
-                known[0] = np.concatenate([known[0], np.stack([lattice.scores(new), logc])], axis=1)
-            return np.fromiter(map(numbers.__getitem__, tokens), np.int64, len(tokens)), known[0]
 
         def finish(batch: pa.RecordBatch, at: int, rows: list[list]) -> pa.RecordBatch:
             n, score, found, base = zip(*rows, strict=True)
             owner, codes, many = (np.concatenate(parts) for parts in zip(*seldom, strict=True))
+            names = pa.array(numbers.keys(), pa.binary())
             seldom[1:] = []
-            words = pa.StructArray.from_arrays(
-                [pa.array(names, pa.binary()).take(pa.array(codes)), pa.array(many)], ["word", "n"]
-            )
+            numbers.clear()
+            pairs = pa.StructArray.from_arrays([names.take(pa.array(codes)), pa.array(many)], ["word", "n"])
             ends = np.searchsorted(owner, np.arange(len(rows) + 1))
             return pa.RecordBatch.from_pydict(
                 {
@@ -398,7 +418,7 @@ def scored(
                     "_score": pa.array(score, pa.float64()),
                     "_known": pa.array(found, pa.int64()),
                     "_base": pa.array(base, pa.float64()),
-                    "_rare": pa.ListArray.from_arrays(pa.array(ends, pa.int32()), words),
+                    "_rare": pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pairs),
                 }
             )
 
@@ -406,18 +426,19 @@ def scored(
             """Adds a slice of texts to their rows: the last ones of ``rows``, whose tokens end at ``ends``."""
             if not tokens:
                 return
-            codes, facts = learn(tokens)
+            codes = np.fromiter(map(place_of.get, tokens, repeat(-1)), np.int64, len(tokens))
             sizes = np.diff([0, *ends])
             owner = np.repeat(np.arange(len(ends)), sizes)
-            score = np.bincount(owner, facts[0][codes], len(ends))
-            logc = facts[1][codes]
-            common = ~np.isnan(logc)
-            n_common = np.bincount(owner[common], minlength=len(ends))
-            base = np.bincount(owner[common], logc[common], len(ends))
-            pairs, n = np.unique(owner[~common] * len(numbers) + codes[~common], return_counts=True)
+            common = codes >= 0
+            mine, own = owner[common], codes[common]
+            sums = [np.bincount(mine, x[own], len(ends)) for x in (logp_of, is_known, log_count)]
+            rest = np.flatnonzero(~common)
+            rare = np.fromiter((numbers.setdefault(tokens[i], len(numbers)) for i in rest.tolist()), np.int64, len(rest))
+            width = len(numbers) + 1
+            pairs, n = np.unique(owner[rest] * width + rare, return_counts=True)
             first = len(rows) - len(ends)
-            seldom.append((pairs // len(numbers) + first, pairs % len(numbers), n))
-            for row, size, s, k, b in zip(rows[first:], sizes, score, n_common, base, strict=True):
+            seldom.append((pairs // width + first, pairs % width, n))
+            for row, size, s, k, b in zip(rows[first:], sizes, *sums, strict=True):
                 row[0] += int(size)
                 row[1] += float(s)
                 row[2] += int(k)
@@ -426,10 +447,10 @@ def scored(
         for batch in batches:
             rows, begin, held, tokens, ends = [], 0, 0, [], []
             for i, raw in enumerate(batch.column("_text").cast(pa.binary())):
-                n_end = counted.get(END)
-                rows.append(
-                    [1, end_score, int(n_end is not None), 0.0 if n_end is None else float(np.log10(n_end + 0.5))]
-                )
+                if end < 0:
+                    rows.append([1, end_logp, 0, float(np.log10(0.5))])
+                else:
+                    rows.append([1, end_logp, int(is_known[end]), float(log_count[end])])
                 body = raw.as_py() or b""
                 for part in blocks(body):
                     tokens += part
@@ -442,10 +463,6 @@ def scored(
                     flush(rows, tokens, ends)
                     yield finish(batch, begin, rows)
                     rows, begin, held, tokens, ends = [], i + 1, 0, [], []
-                    if len(numbers) > HELD_WORDS:
-                        numbers.clear()
-                        names.clear()
-                        known[0] = np.empty((2, 0))
             if rows:
                 flush(rows, tokens, ends)
                 yield finish(batch, begin, rows)
@@ -453,23 +470,23 @@ def scored(
     added = "n_tokens long, _score double, _known long, _base double, _rare array<struct<word:binary,n:bigint>>"
     shape = StructType([whole.schema["_row"], whole.schema["_key"], *StructType.fromDDL(added)])
     found = cut_lineage(whole.mapInArrow(run, shape))
-    rare = found.select("_key", F.inline("_rare"))
-    per_row = rare.join(counts.where(~is_often), "word").groupBy("_key").agg(
-        F.sum("n").alias("_more"), F.sum(F.col("n") * F.log10(F.col("c") + 0.5)).alias("_rest")
+    # Every word of the corpus is in the table of words.
+    per_row = (
+        found.select("_key", F.inline("_rare"))
+        .join(words.where(~is_often), "word")
+        .groupBy("_key")
+        .agg(
+            F.sum(F.when(F.col("c") > 0, F.col("n")).otherwise(0)).alias("_more"),
+            F.sum(F.col("n") * F.log10(F.col("c") + 0.5)).alias("_rest"),
+            F.sum(F.col("n") * F.col("logp")).alias("_spelled"),
+        )
     )
-    known = F.col("_known") + F.coalesce("_more", F.lit(0))
     below = float(np.log10(n_train + 0.5 * (n_words + 1)))
-    base = (
-        F.col("_base")
-        + F.coalesce("_rest", F.lit(0.0))
-        + (F.col("n_tokens") - known) * F.lit(float(np.log10(0.5)))
-        - F.col("n_tokens") * F.lit(below)
-    )
     return found.drop("_rare").join(per_row, "_key", "left").select(
         "_row.*",
         "n_tokens",
-        known.alias("n_known"),
+        (F.col("_known") + F.coalesce("_more", F.lit(0))).alias("n_known"),
         F.lit(n_train).cast("long").alias("train_tokens"),
-        base.alias("base_score"),
-        (F.col("_score") / F.lit(float(np.log(10)))).alias("score"),
+        (F.col("_base") + F.coalesce("_rest", F.lit(0.0)) - F.col("n_tokens") * F.lit(below)).alias("base_score"),
+        ((F.col("_score") + F.coalesce("_spelled", F.lit(0.0))) / F.lit(float(np.log(10)))).alias("score"),
     )
