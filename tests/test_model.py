@@ -123,3 +123,9 @@ def test_importance_is_read_from_the_ledger(spark, feature_table, kind):
     whole = {f: (sum(a) / (len(a) if kind in ("gain", "cover") else 1) if a else 0.0) for f, a in amounts.items()}
     got = {r["feature"]: r["importance"] for r in fitted.importance(spark, kind).collect()}
     assert got == {f: pytest.approx(a / sum(whole.values())) for f, a in whole.items()}
+
+
+def test_a_walk_multiplies_no_rows(feature_table):
+    whole = matrix.feature_matrix(feature_table)
+    plan = model.walked_scores(model.fit(whole, **SMALL), whole)._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in plan and "explode" not in plan
