@@ -6,7 +6,7 @@ accumulate over the few buckets, and look at single rows only inside a bucket.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from decimal import Decimal
 
 from pyspark.ml.feature import Bucketizer
@@ -114,22 +114,42 @@ def running_totals(
 def exact_medians(df: DataFrame, columns: Sequence[str], slices: int = 64) -> DataFrame:
     """Exact median (midpoint for an even count) of each double column: (column_name, median); NULLs are ignored.
 
-    Sketches per column, combined before the shuffle and spread by column, cut the middle two percent into slices. Values
-    outside are only counted, and single values are ranked inside the one or two slices that hold the middle, about one
-    in ``slices * 50`` of the column. A column without values yields no row.
+    Sketches per column, combined before the shuffle and spread by column, cut the middle two percent into slices; these bounds,
+    ``slices + 1`` numbers a column, reach the driver. Values outside are only counted, those inside are counted by value, all
+    map-side, and only the values of the one or two slices that hold the middle are ranked, about one in ``slices * 50`` of the
+    column. A column without values yields no row.
     """
-    cells = df.select(
-        F.inline(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("value")) for c in columns]))
-    ).where("value is not null")
+
+    def cells(kept: Sequence[str], *more: Callable[[str], Column]) -> DataFrame:
+        return df.select(
+            F.inline(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("value"), *(f(c) for f in more)) for c in kept]))
+        ).where("value is not null")
+
     marks = [0.49 + 0.02 * i / slices for i in range(slices + 1)]
-    bounds = cells.groupBy("column_name").agg(F.percentile_approx("value", marks, 2000).alias("bounds"))
-    # The slice of a value: how many bounds lie below it. The first and the last slice are everything outside.
-    slice_no = F.size(F.filter("bounds", lambda bound: bound < F.col("value")))
-    placed = cells.join(F.broadcast(bounds), "column_name").select("column_name", "value", slice_no.alias("slice"))
+    found = cells(columns).groupBy("column_name").agg(F.percentile_approx("value", marks, 2000).alias("bounds")).collect()
+    bounds = {row["column_name"]: row["bounds"] for row in found}
+    if not bounds:
+        return df.sparkSession.createDataFrame([], "column_name string, median double")
+
+    def part(c: str) -> Column:
+        """Below the middle, in it or above it."""
+        low, high = F.lit(bounds[c][0]), F.lit(bounds[c][-1])
+        return F.when(F.col(c) < low, -1).when(F.col(c) > high, 1).otherwise(0).alias("part")
+
+    by_value = (
+        cells([c for c in columns if c in bounds], part)
+        .groupBy("column_name", "part", F.when(F.col("part") == 0, F.col("value")).alias("value"))
+        .agg(F.count("*").alias("n"))
+    )
+    # The slice of a value: how many bounds lie below it.
+    known = df.sparkSession.createDataFrame(list(bounds.items()), "column_name string, bounds array<double>")
+    slice_no = F.when(F.col("part") == 0, F.size(F.filter("bounds", lambda bound: bound < F.col("value"))))
+    own_slice = F.coalesce(slice_no, F.col("part") * (slices + 2)).alias("slice")
+    placed = by_value.join(F.broadcast(known), "column_name").select("column_name", "value", "n", own_slice)
     in_order = Window.partitionBy("column_name").orderBy("slice")
     counted = (
         placed.groupBy("column_name", "slice")
-        .agg(F.count("*").alias("n"))
+        .agg(F.sum("n").alias("n"))
         .withColumn("before", F.sum("n").over(in_order) - F.col("n"))
         .withColumn("total", F.sum("n").over(Window.partitionBy("column_name")))
     )
@@ -137,8 +157,6 @@ def exact_medians(df: DataFrame, columns: Sequence[str], slices: int = 64) -> Da
     by_value = Window.partitionBy("column_name", "slice").orderBy("value")
     ranked = (
         placed.join(F.broadcast(middle), ["column_name", "slice"])  # at most two rows per column
-        .groupBy("column_name", "slice", "before", "total", "value")
-        .agg(F.count("*").alias("n"))
         .withColumn("upto", F.col("before") + F.sum("n").over(by_value))
     )
 

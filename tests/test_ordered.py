@@ -165,3 +165,15 @@ def test_a_long_history_is_ordered_day_by_day_on_several_tasks(spark, conf):
     sizes = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
     assert len(sizes) == 8
     assert max(sizes) < 2 * 200_000 / 8
+
+
+def test_values_are_counted_before_they_are_placed(spark):
+    """A table of many equal values sends few rows on: cells are counted by value first."""
+    df = spark.range(2000).selectExpr("cast(id % 3 as double) a", "cast(id as double) b", "cast(null as double) c")
+    medians = ordered.exact_medians(df, ["a", "b", "c"])
+    lines = medians._jdf.queryExecution().executedPlan().toString().splitlines()
+    for i in (i for i, line in enumerate(lines) if "Generate" in line):
+        above = next(line for line in reversed(lines[:i]) if "Join" in line or "HashAggregate" in line)
+        assert "HashAggregate" in above
+    assert {r.column_name: r.median for r in medians.collect()} == {"a": 1.0, "b": 999.5}
+    assert ordered.exact_medians(df, ["c"]).collect() == []
