@@ -172,16 +172,17 @@ SAMPLE_SCHEMAS: Schemas = {
 
 
 def sample_exchanges(turns: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Calls, results and predecessors told from plain turns: every assistant turn calls a tool with arguments taken from its
-    text (some of them wrong), the user turn after it is the result, and a call comes after the one at half its place."""
+    """Calls, results and predecessors told from plain turns: every assistant turn calls a tool with its whole text in the
+    arguments (some of them wrong), the user turn after it is the result, and a call comes after the one at half its place."""
     size, place = F.length("text"), F.floor(F.col("turn") / 2)
     call_id = F.concat_ws("_", F.lit("call"), F.col("conv_id"), F.col("turn"))
-    query = F.to_json(F.struct(F.left("text", F.lit(40)).alias("query")))
+    query = F.to_json(F.struct(F.col("text").alias("query")))
     limit = F.when(size % 7 == 0, F.concat(F.lit('"'), size, F.lit('"'))).otherwise(size.cast("string"))
     name = F.element_at(F.array(*(F.lit(n) for n in ("lookup", "count", "weigh", "forget"))), (size % 4 + 1).cast("int"))
     arguments = (
-        F.when(name == "lookup", F.concat(F.lit('{ "limit" : '), limit, F.lit(", "), F.substring(query, 2, 1000)))
-        .when(name == "count", F.concat(F.substring(query, 1, 30)))
+        F.when(name == "lookup", F.concat(F.lit('{ "limit" : '), limit, F.lit(", "), F.substring(query, F.lit(2), F.length(query))))
+        # A longer one lacks its closing brace.
+        .when(name == "count", F.when(F.length(query) > 30, F.substring(query, F.lit(1), F.length(query) - 1)).otherwise(query))
         .when(name == "weigh", F.concat(F.lit('{"scale": '), (size / 8).cast("string"), F.lit(', "values": ['), size, F.lit("]}")))
         .otherwise(query)
     )

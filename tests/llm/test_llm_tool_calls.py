@@ -71,3 +71,16 @@ def test_a_long_chain(spark):
     n = 12
     rows = linked(spark, [(1, n - i, f"c{i}", "find", '{"q":"x"}') for i in range(n)], (), [(1, f"c{i + 1}", f"c{i}") for i in range(n - 1)])
     assert [r["call_id"] for r in rows] == [f"c{i}" for i in range(n)] and rows[-1]["level"] == n - 1
+
+
+def test_sampled_calls_carry_whole_texts(spark):
+    """Sizes 4k to 4k + 3 give the four tools; only "weigh" has no text in its arguments."""
+    texts = ["a" * 5996 + "\"" + "b" * (3 + i) for i in range(4)]
+    turns = spark.createDataFrame([(1, 2 * i, "assistant", t) for i, t in enumerate(texts)], "conv_id long, turn long, role string, text string")
+    calls = {r["name"]: (len(texts[r["turn"] // 2]), r["arguments"]) for r in tool_calls.sample_exchanges(turns)[0].collect()}
+    for tool in ("lookup", "forget"):
+        size, arguments = calls[tool]
+        assert json.loads(arguments)["query"] in texts and len(json.loads(arguments)["query"]) == size
+    size, arguments = calls["count"]
+    assert len(json.loads(arguments + "}")["query"]) == size
+    assert set(calls) == {"lookup", "count", "weigh", "forget"}
