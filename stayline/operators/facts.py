@@ -7,7 +7,7 @@ large share of the rows. Where a step would gather one customer's rows (windows)
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stayline.functions import vocab
@@ -28,18 +28,21 @@ def fct_watch_event(
     """One row per viewing by a known customer of a known title.
 
     Completion is compared as given, on the ladder's own scale; ``completion_scale=100`` reads values stored as
-    fractions. The title is looked up first: it is the smaller dimension, and the one that drops rows earliest.
+    fractions. The title is looked up first: it is the smaller dimension, and the one that drops rows earliest. A key that
+    is the digest of its id, as staging makes them, does not travel through the joins: it is made again behind them.
     """
     completion = F.col("completion_percentage")
     if completion_scale != 1:
         completion = completion * completion_scale
+    titles = _light_key(content.select("content_id", "content_key"), "content_key", "content_id")
     return (
-        watches.join(content.select("content_id", "content_key"), "content_id")
+        _light_key(watches, "watch_event_key", "watch_event_id")
+        .join(titles, "content_id")
         .join(customers.select("customer_id", "customer_key"), "customer_id")
         .select(
-            "watch_event_key",
+            _whole_key("watch_event_key", "watch_event_id"),
             "customer_key",
-            "content_key",
+            _whole_key("content_key", "content_id"),
             F.col("watch_date").alias("date_day"),
             "watch_event_id",
             "session_id",
@@ -54,6 +57,16 @@ def fct_watch_event(
     )
 
 
+def _light_key(df: DataFrame, key: str, source: str) -> DataFrame:
+    """A key that is the digest of ``source`` as a mark, any other one as it is."""
+    derived = F.col(key).eqNullSafe(surrogate_key(source))
+    return df.withColumns({f"_{key}_derived": derived, key: F.when(~derived, F.col(key))})
+
+
+def _whole_key(key: str, source: str) -> Column:
+    return F.when(F.col(f"_{key}_derived"), surrogate_key(source)).otherwise(F.col(key)).alias(key)
+
+
 def fct_support_interaction(tickets: DataFrame, customers: DataFrame) -> DataFrame:
     """One row per ticket of a known customer, with speed and mood tiers."""
     return tickets.join(customers.select("customer_id", "customer_key"), "customer_id").select(

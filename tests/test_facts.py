@@ -211,3 +211,15 @@ def test_revenue_category_of_an_unknown_event(spark):
     events = spark.createDataFrame([sub("c1", "pause", "2023-02-01")], SUBSCRIPTION)
     out = facts.fct_subscription_event(events, customers(spark, "c1"), dims.dim_date(spark))
     assert out.first().revenue_category == "other"
+
+
+def test_digests_are_made_behind_the_joins_and_other_keys_are_kept(spark):
+    events = spark.createDataFrame([watch(1), watch(2)], WATCH)
+    light = events.withColumn("watch_event_key", F.md5("watch_event_id"))
+    own = events.withColumn("watch_event_key", F.when(F.col("watch_event_id") == "w1", "own"))
+    dim = customers(spark, "c1"), content(spark, "t1")
+    digests = facts.fct_watch_event(light, *dim)
+    lines = digests._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    assert "md5" in "".join(lines[: next(i for i, line in enumerate(lines) if "Join" in line)])
+    assert tuples(digests, "watch_event_id", "watch_event_key") == tuples(light, "watch_event_id", "watch_event_key")
+    assert sorted(tuples(facts.fct_watch_event(own, *dim), "watch_event_id", "watch_event_key")) == [("w1", "own"), ("w2", None)]
