@@ -212,3 +212,15 @@ def watched_fact(spark):
     columns = "customer_key string, date_day date, content_key string, session_id string, device_type string, engagement_level string"
     rest = "watch_duration_minutes int, completion_percentage decimal(5,2), is_resumed boolean, session_duration_bucket string"
     return spark.createDataFrame([], f"{columns}, {rest}")
+
+
+def test_a_title_is_a_bit_of_a_word_not_of_a_whole_bitmap(spark):
+    """A bitmap of 4 KB for each title seen would be most of what is shuffled where titles are many."""
+    assert "bitmap" not in plan(features.watch_variety(watched_fact(spark)))
+
+
+def test_the_fact_is_joined_once_for_all_features(spark):
+    from stayline.plans.queries import QUERIES
+
+    physical = plan(QUERIES["feat_watch"](spark, "/root/testdata/sf0.001"))
+    assert "l_orderkey" not in physical
