@@ -112,6 +112,9 @@ def key_checks(tables: Mapping[str, DataFrame], keys: Mapping[str, Sequence[tupl
     is a failure when it is its own more than once (unique) or has no parent (relationships, by its number of rows).
     """
     names = ("test", "table_name", "column_name")
+    declared = sorted({tuple(check) for entries in keys.values() for *check, _, _ in entries})
+    # A value travels with the number of its check instead of three names.
+    number = {check: i for i, check in enumerate(declared)}
     rows = union_all(
         tables[name]
         .select(
@@ -119,7 +122,7 @@ def key_checks(tables: Mapping[str, DataFrame], keys: Mapping[str, Sequence[tupl
                 F.array(
                     *[
                         F.struct(
-                            *(F.lit(v).alias(n) for n, v in zip(names, check, strict=True)),
+                            F.lit(number[tuple(check)]).alias("check"),
                             F.lit(role == "parent").alias("is_parent"),
                             F.col(column).cast("string").alias("value"),
                         )
@@ -132,17 +135,20 @@ def key_checks(tables: Mapping[str, DataFrame], keys: Mapping[str, Sequence[tupl
         for name, entries in keys.items()
     )
     own, parents = count_where(~F.col("is_parent")), count_where(F.col("is_parent"))
-    by_value = rows.groupBy(*names, "value").agg(own.alias("own"), parents.alias("parents"))
-    failed = F.when(F.col("test") == "unique", (F.col("own") > 1).cast("bigint")).otherwise(
+    by_value = rows.groupBy("check", "value").agg(own.alias("own"), parents.alias("parents"))
+    unique = [i for check, i in number.items() if check[0] == "unique"]
+    failed = F.when(F.col("check").isin(unique), (F.col("own") > 1).cast("bigint")).otherwise(
         F.when(F.col("parents") == 0, F.col("own")).otherwise(0)
     )
-    found = by_value.groupBy(*names).agg(F.sum(failed).cast("bigint").alias("n_failed"))
-    declared = [F.struct(*(F.lit(v).alias(n) for n, v in zip(names, check, strict=True))) for check in sorted(
-        {tuple(check) for entries in keys.values() for *check, _, _ in entries}
-    )]
+    found = by_value.groupBy("check").agg(F.sum(failed).cast("bigint").alias("n_failed"))
     # A check whose column holds no value at all has no rows to be found in.
-    every = found.sparkSession.range(1).select(F.inline(F.array(*declared)))
-    return every.join(found, list(names), "left").select(*names, F.coalesce("n_failed", F.lit(0)).cast("bigint").alias("n_failed"))
+    every = [F.struct(F.lit(i).alias("check"), *(F.lit(v).alias(n) for n, v in zip(names, check, strict=True))) for check, i in number.items()]
+    return (
+        found.sparkSession.range(1)
+        .select(F.inline(F.array(*every)))
+        .join(found, "check", "left")
+        .select(*names, F.coalesce("n_failed", F.lit(0)).cast("bigint").alias("n_failed"))
+    )
 
 
 def source_freshness(

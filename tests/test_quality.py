@@ -97,3 +97,14 @@ def test_every_checked_table_exists_in_the_warehouse(spark):
     for name, declared in CHECKS.items():
         wanted = {c for kind in declared.values() for c in kind}
         assert wanted <= set(warehouse[name].columns), name
+
+
+def test_values_travel_with_the_number_of_their_check(spark):
+    from helpers import plan
+
+    tables = {"t": spark.createDataFrame([("a",), ("a",)], "k string"), "p": spark.createDataFrame([("b",)], "k string")}
+    checks = {"t": {"unique": ["k"], "relationships": {"k": ("p", "k")}}, "p": {"unique": ["k"]}}
+    report = quality.run_checks(tables, checks, ["unique", "relationships"])
+    assert "hashpartitioning(test" not in plan(report)
+    found = {(r["test"], r["table_name"]): (r["n_failed"], r["status"]) for r in report.collect()}
+    assert found == {("unique", "t"): (1, "fail"), ("unique", "p"): (0, "pass"), ("relationships", "t"): (2, "fail")}
