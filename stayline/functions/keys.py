@@ -17,3 +17,21 @@ def surrogate_key(*columns: str | Column) -> Column:
         column = F.col(column) if isinstance(column, str) else column
         parts.append(F.coalesce(column.cast("string"), F.lit(NULL_COMPONENT)))
     return F.md5(F.concat_ws(KEY_SEPARATOR, *parts))
+
+
+# What stands before a key that is no digest; longer than one, so that the two kinds never meet.
+_PLAIN = bytes(17)
+
+
+def packed(key: str) -> Column:
+    """A key in the bytes that a shuffle has to carry: the 16 of a digest in hex, any other text behind a mark. Different keys stay
+    different, NULL stays NULL, and ``unpacked`` gives the key back."""
+    text = F.col(key)
+    digest = (F.length(text) == 32) & text.rlike("^[0-9a-f]{32}")
+    return F.when(digest, F.unhex(text)).otherwise(F.concat(F.lit(_PLAIN), text.cast("binary")))
+
+
+def unpacked(key: str) -> Column:
+    held = F.col(key)
+    plain = F.substring(held, len(_PLAIN) + 1, 2**31 - 1).cast("string")
+    return F.when(F.octet_length(held) == 16, F.lower(F.hex(held))).otherwise(plain)

@@ -24,47 +24,70 @@ def fct_watch_event(
     content: DataFrame,
     engagement=vocab.ENGAGEMENT_LADDER,
     completion_scale: int = 1,
+    unusual: DataFrame | None = None,
 ) -> DataFrame:
     """One row per viewing by a known customer of a known title.
 
     Completion is compared as given, on the ladder's own scale; ``completion_scale=100`` reads values stored as
     fractions. The title is looked up first: it is the smaller dimension, and the one that drops rows earliest. A key that
-    is the digest of its id, as staging makes them, does not travel through the joins: it is made again behind them.
+    is the digest of its id, as staging makes them, does not travel through the joins: it is made again behind them. With the
+    ``unusual_titles`` of the same tables, a list short enough to be broadcast, the viewings are not shuffled to look up titles.
     """
     completion = F.col("completion_percentage")
     if completion_scale != 1:
         completion = completion * completion_scale
-    titles = _light_key(content.select("content_id", "content_key"), "content_key", "content_id")
-    return (
-        _light_key(watches, "watch_event_key", "watch_event_id")
-        .join(titles, "content_id")
-        .join(customers.select("customer_id", "customer_key"), "customer_id")
-        .select(
-            _whole_key("watch_event_key", "watch_event_id"),
-            "customer_key",
-            _whole_key("content_key", "content_id"),
-            F.col("watch_date").alias("date_day"),
-            "watch_event_id",
-            "session_id",
-            "device_type",
-            "watch_start_time",
-            "watch_duration_minutes",
-            "completion_percentage",
-            "is_resumed",
-            at_least(completion, *engagement).alias("engagement_level"),
-            at_most(F.col("watch_duration_minutes"), *vocab.SESSION_LADDER).alias("session_duration_bucket"),
-        )
+    viewings = _light_key(watches, "watch_event_key", "watch_event_id")
+    if unusual is None:
+        of_titles = viewings.join(_title_keys(content), "content_id")
+    else:
+        listed = viewings.where(F.col("content_id").isNotNull()).join(F.broadcast(unusual), "content_id", "left")
+        derived = F.when(F.col("_found"), F.col("content_key")).otherwise(F.lit(_DERIVED))
+        of_titles = listed.where(F.coalesce("_found", F.lit(True))).withColumn("content_key", derived).drop("_found")
+    return of_titles.join(customers.select("customer_id", "customer_key"), "customer_id").select(
+        _whole_key("watch_event_key", "watch_event_id"),
+        "customer_key",
+        _whole_key("content_key", "content_id"),
+        F.col("watch_date").alias("date_day"),
+        "watch_event_id",
+        "session_id",
+        "device_type",
+        "watch_start_time",
+        "watch_duration_minutes",
+        "completion_percentage",
+        "is_resumed",
+        at_least(completion, *engagement).alias("engagement_level"),
+        at_most(F.col("watch_duration_minutes"), *vocab.SESSION_LADDER).alias("session_duration_bucket"),
+    )
+
+
+def unusual_titles(watches: DataFrame, content: DataFrame) -> DataFrame:
+    """The watched titles that are not in ``content`` exactly once under the digest of their id: one row for each time a title is
+    there, with its key, and one for a title that is not there. Copies of a title are dropped map-side, so only titles are shuffled."""
+    keys = _title_keys(content)
+    usual = keys.groupBy("content_id").agg(
+        F.count("*").alias("_n"), F.min(F.col("content_key").eqNullSafe(_DERIVED)).alias("_derived")
+    ).where("_n = 1 and _derived")
+    watched = watches.where(F.col("content_id").isNotNull()).select("content_id").distinct()
+    return watched.join(usual, "content_id", "left_anti").join(keys.withColumn("_found", F.lit(True)), "content_id", "left").select(
+        "content_id", "content_key", F.coalesce("_found", F.lit(False)).alias("_found")
     )
 
 
+# Stands for a key that is the digest of its id; other keys follow a mark.
+_DERIVED = ""
+
+
 def _light_key(df: DataFrame, key: str, source: str) -> DataFrame:
-    """A key that is the digest of ``source`` as a mark, any other one as it is."""
-    derived = F.col(key).eqNullSafe(surrogate_key(source))
-    return df.withColumns({f"_{key}_derived": derived, key: F.when(~derived, F.col(key))})
+    other = F.concat(F.lit("="), F.col(key))
+    return df.withColumn(key, F.when(F.col(key).eqNullSafe(surrogate_key(source)), _DERIVED).otherwise(other))
 
 
 def _whole_key(key: str, source: str) -> Column:
-    return F.when(F.col(f"_{key}_derived"), surrogate_key(source)).otherwise(F.col(key)).alias(key)
+    return F.when(F.col(key) == _DERIVED, surrogate_key(source)).otherwise(F.substring(key, 2, 2**31 - 1)).alias(key)
+
+
+def _title_keys(content: DataFrame) -> DataFrame:
+    return _light_key(content.select("content_id", "content_key"), "content_key", "content_id")
 
 
 def fct_support_interaction(tickets: DataFrame, customers: DataFrame) -> DataFrame:

@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 
 from stayline.functions import vocab
 from stayline.functions.columns import at_least, count_where, day, lookup, mean2, share_of_rows
-from stayline.functions.keys import surrogate_key
-from stayline.operators.ordered import numbered
+from stayline.functions.keys import packed, surrogate_key, unpacked
+from stayline.operators.ordered import LONG_HISTORY, numbered
 
 # Feature names by group, in output order.
 FEATURE_GROUPS: dict[str, tuple[str, ...]] = {
@@ -228,13 +228,52 @@ def watch_variety(fct_watch_event: DataFrame, dim_content: DataFrame | None = No
     )
 
 
-def watch_features(fct_watch_event: DataFrame, as_of: date, dim_content: DataFrame | None = None) -> DataFrame:
+VARIETY = {
+    "date_day": "total_active_days",
+    "content_key": "unique_titles_watched",
+    "session_id": "unique_sessions",
+    "device_type": "device_count",
+}
+
+
+def gathered_variety(fct_watch_event: DataFrame, longest: int = LONG_HISTORY) -> DataFrame:
+    """The same counts from one shuffle of narrow rows, for a stored fact, which may be read more than once.
+
+    The viewings of a customer meet in one task, so nothing is left to add up: distinct pairs that are spread by value come back as
+    nearly one partial row each, more of them the more tasks there are. A customer of more than ``longest`` viewings is
+    spread by value all the same, and copies are dropped map-side there. There is at most one such customer for each
+    ``longest`` rows of the fact, so their keys are broadcast.
+    """
+    rows = fct_watch_event.select(
+        "date_day", "device_type", packed("customer_key").alias("customer_key"), packed("content_key").alias("content_key"), "session_id"
+    )
+    values = {c: F.col(c) if c == "content_key" else F.col(c).cast("string").cast("binary") for c in VARIETY}
+    per_customer = fct_watch_event.groupBy(packed("customer_key").alias("customer_key")).agg(F.count("*").alias("_n"))
+    many = F.broadcast(per_customer.where(F.col("_n") > longest).select("customer_key"))
+    # A missing value is not counted; its customer still has a row.
+    each = F.inline(F.array(*(F.struct(F.lit(c).alias("kind"), v.alias("value")) for c, v in values.items())))
+
+    def counted(viewings: DataFrame) -> DataFrame:
+        distinct = viewings.select("customer_key", each).groupBy("customer_key", "kind", "value").agg(F.lit(1).alias("_one"))
+        return distinct.groupBy("customer_key").agg(
+            *(F.count(F.when(F.col("kind") == c, F.col("value"))).alias(name) for c, name in VARIETY.items())
+        )
+
+    gathered = counted(rows.join(many, "customer_key", "left_anti").repartition("customer_key"))
+    spread = counted(rows.join(many, "customer_key", "left_semi"))
+    return gathered.unionByName(spread).select(unpacked("customer_key").alias("customer_key"), *VARIETY.values())
+
+
+def watch_features(
+    fct_watch_event: DataFrame, as_of: date, dim_content: DataFrame | None = None, stored: bool = False
+) -> DataFrame:
     """Both kinds of viewing features, joined on the key they are grouped by.
 
     Apart they read nearly disjoint columns of the stored fact. Both sides have the same customers; as a left join the
-    distinct counts are dropped from a plan that does not select them.
+    distinct counts are dropped from a plan that does not select them. ``stored`` says that the fact is a stored table.
     """
-    return watch_measures(fct_watch_event, as_of).join(watch_variety(fct_watch_event, dim_content), "customer_key", "left")
+    variety = gathered_variety(fct_watch_event) if stored else watch_variety(fct_watch_event, dim_content)
+    return watch_measures(fct_watch_event, as_of).join(variety, "customer_key", "left")
 
 
 def watch_recent_features(fct_watch_event: DataFrame, as_of: date) -> DataFrame:
@@ -324,14 +363,16 @@ def feature_table(
     watchlist: DataFrame,
     as_of: date,
     dim_content: DataFrame | None = None,
+    stored: bool = False,
 ) -> DataFrame:
     """One row per customer: key, target and the 55 features at ``as_of``.
 
     The aggregates leave their shuffle partitioned by customer key, which is what the left joins need, so each input
     is shuffled once. Ratings and watchlist rows of unknown customers find no partner and drop out by themselves.
+    ``stored`` says that the viewing fact is a stored table.
     """
     domains = [
-        watch_features(fct_watch_event, as_of, dim_content),
+        watch_features(fct_watch_event, as_of, dim_content, stored),
         subscription_features(fct_subscription_event),
         support_features(fct_support_interaction, as_of),
         _rating_aggregates(ratings),

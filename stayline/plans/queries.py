@@ -312,7 +312,7 @@ QUERIES: dict[str, Query] = {
     "fct_watch_event_fraction_scaled": lambda spark, sf_dir: _fraction_input(spark, sf_dir, completion_scale=100),
     "feat_customer": _on(lambda w: features.customer_features(w["dim_customer"], w.as_of)),
     "feat_watch": _columns(
-        lambda w: features.watch_features(w["fct_watch_event"], w.as_of, w["dim_content"]), "customer_key", *WATCH
+        lambda w: features.watch_features(w["fct_watch_event"], w.as_of, stored=True), "customer_key", *WATCH
     ),
     "feat_watch_recent": _on(lambda w: features.watch_recent_features(w["fct_watch_event"], w.as_of)),
     "feat_subscription": _on(lambda w: features.subscription_features(w["fct_subscription_event"])),

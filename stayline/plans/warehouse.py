@@ -27,7 +27,11 @@ MARTS = {
     "dim_content": lambda w: dims.dim_content(w["stg_content_catalog"], w.as_of),
     "dim_date": lambda w: dims.dim_date(w.spark, week=w.week),
     "fct_watch_event": lambda w: facts.fct_watch_event(
-        w["stg_watch_events"], w["dim_customer"], w["dim_content"], completion_scale=w.completion_scale
+        w["stg_watch_events"],
+        w["dim_customer"],
+        w["dim_content"],
+        completion_scale=w.completion_scale,
+        unusual=w.unusual_titles() if w.keeps("fct_watch_event") else None,
     ),
     "fct_support_interaction": lambda w: facts.fct_support_interaction(w["stg_support_tickets"], w["dim_customer"]),
     "fct_daily_user_activity": lambda w: facts.fct_daily_user_activity(
@@ -45,11 +49,15 @@ MARTS = {
         w["stg_user_watchlist"],
         w.as_of,
         w["dim_content"],
+        w.keeps("fct_watch_event"),
     ),
 }
 # Staging models stay views, but the deduplicated catalogue is worth storing.
 STORED = {"stg_content_catalog": "staging"} | {name: "marts" for name in MARTS}
 
+# Fixed value: unusual titles that are broadcast; a longer list is joined.
+UNUSUAL_MAX = 100_000
+
 
 class Warehouse(Mapping):
     """Tables by name, each built on first use from the raw tables.
@@ -79,6 +87,15 @@ class Warehouse(Mapping):
     def spark(self) -> SparkSession:
         return self._raw["raw_users"].sparkSession
 
+    def keeps(self, name: str) -> bool:
+        """Whether a table is written when it is built."""
+        return bool(self._store and name in STORED) or name in self._cut
+
+    def unusual_titles(self) -> DataFrame | None:
+        """The list that spares the viewings a shuffle, written once, if it is short."""
+        found = cut_lineage(facts.unusual_titles(self["stg_watch_events"], self["dim_content"]))
+        return found if found.count() <= UNUSUAL_MAX else None
+
     def __getitem__(self, name: str) -> DataFrame:
         if name in self._raw:
             return self._raw[name]

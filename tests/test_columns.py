@@ -122,3 +122,15 @@ def test_lookup_default(spark):
 def test_share_of_rows_ignores_null_conditions_and_rounds_half_up(spark):
     df = spark.createDataFrame([(True,)] + [(False,)] * 6 + [(None,)], "c boolean")
     assert df.agg(columns.share_of_rows(F.col("c"))).first()[0] == dec("0.13")
+
+
+def test_packed_keys_stay_apart_and_come_back(spark):
+    from stayline.functions.keys import packed, unpacked
+
+    digest = "0123456789abcdef" * 2
+    keys = [None, "", "c1", digest, digest.upper(), digest[:-1] + "\n", digest + "\n", "g" * 32, "0123456789abcdef", "\x00" * 17, "é" * 16]
+    held = spark.createDataFrame([(k,) for k in keys], "k string").select("k", packed("k").alias("p"))
+    rows = held.select("k", "p", unpacked("p").alias("back")).collect()
+    assert all(r.back == r.k for r in rows)
+    assert len({r.p and bytes(r.p) for r in rows}) == len(keys)
+    assert [len(r.p) for r in rows if r.k == digest] == [16]

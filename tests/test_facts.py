@@ -223,3 +223,37 @@ def test_digests_are_made_behind_the_joins_and_other_keys_are_kept(spark):
     assert "md5" in "".join(lines[: next(i for i, line in enumerate(lines) if "Join" in line)])
     assert tuples(digests, "watch_event_id", "watch_event_key") == tuples(light, "watch_event_id", "watch_event_key")
     assert sorted(tuples(facts.fct_watch_event(own, *dim), "watch_event_id", "watch_event_key")) == [("w1", "own"), ("w2", None)]
+
+
+def test_the_list_of_unusual_titles_gives_the_rows_of_the_join(spark, conf):
+    """Titles that are missing, there twice, there under another key or under none; viewings without a title."""
+    conf(spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__enabled="false")
+    usual = spark.createDataFrame([("t1",), ("t2",), ("t2",), ("t6",)], "content_id string").withColumn("content_key", surrogate_key("content_id"))
+    other = spark.createDataFrame([("t3", "key-t3"), ("t4", None), ("t5", ""), ("t6", "=x"), (None, "k")], "content_id string, content_key string")
+    titles = usual.unionByName(other)
+    events = spark.createDataFrame([watch(i, title=t) for i, t in enumerate(["t1", "t1", "t2", "t3", "t4", "t5", "t6", "t9", None])], WATCH)
+    listed = facts.unusual_titles(events, titles)
+    assert Counter(r.content_id for r in listed.collect()) == {"t2": 2, "t3": 1, "t4": 1, "t5": 1, "t6": 2, "t9": 1}
+    joined = facts.fct_watch_event(events, customers(spark, "c1"), titles)
+    found = facts.fct_watch_event(events, customers(spark, "c1"), titles, unusual=listed)
+    assert len(tuples(joined)) == 9 and tuples(found) == tuples(joined)
+    assert plan(found).split("== Physical Plan ==")[1].count("BroadcastHashJoin") == 1
+
+
+def test_a_stored_fact_joins_titles_only_where_many_are_unusual(spark, tmp_path, monkeypatch):
+    from helpers import AS_OF
+
+    from stayline.plans import warehouse
+    from stayline.sources.samples import raw_tables
+    from stayline.sources.tables import parquet_store
+
+    given = []
+    plain = facts.fct_watch_event
+    monkeypatch.setattr(facts, "fct_watch_event", lambda *a, **k: given.append(k["unusual"]) or plain(*a, **k))
+    stored = {}
+    for name, most in (("list", warehouse.UNUSUAL_MAX), ("join", -1)):
+        monkeypatch.setattr(warehouse, "UNUSUAL_MAX", most)
+        store = parquet_store(str(tmp_path / name))
+        stored[name] = tuples(warehouse.Warehouse(raw_tables(spark, "/root/testdata/sf0.001"), AS_OF, store)["fct_watch_event"])
+    assert stored["list"] == stored["join"]
+    assert given[0] is not None and given[1] is None

@@ -224,3 +224,29 @@ def test_the_fact_is_joined_once_for_all_features(spark):
 
     physical = plan(QUERIES["feat_watch"](spark, "/root/testdata/sf0.001"))
     assert "l_orderkey" not in physical
+
+
+def test_gathered_counts_equal_plain_ones(spark):
+    """Hot customers beside ordinary ones, keys that are digests and others, missing values."""
+    fact = spark.range(20_000).selectExpr(
+        "case when id % 3 = 0 then 'hot' when id % 101 = 0 then 'one' else md5(cast(id % 50 as string)) end customer_key",
+        "if(id % 97 = 0, null, date_add(date'1960-01-01', cast(id * 7919 % 30000 as int))) date_day",
+        "case when id % 89 = 0 then null when id % 5 = 0 then concat('t', id % 700) else md5(cast(id % 4100 as string)) end content_key",
+        "if(id % 83 = 0, null, concat('s', id div 2)) session_id",
+        "if(id % 5 = 0, null, concat('d', id % 7)) device_type",
+    ).unionByName(spark.sql("select 'blank' customer_key, date(null) date_day, string(null) content_key, string(null) session_id, string(null) device_type"))
+    want = fact.groupBy("customer_key").agg(*(F.count_distinct(c).alias(name) for c, name in features.VARIETY.items()))
+    for longest in (features.LONG_HISTORY, 1_000, 0):
+        got = features.gathered_variety(fact, longest)
+        assert tuples(got, "customer_key", *features.VARIETY.values()) == tuples(want, "customer_key", *features.VARIETY.values())
+
+
+def test_a_stored_fact_is_shuffled_once_for_the_distinct_counts(spark, conf, tmp_path):
+    """No dictionary of titles is joined, and nothing but hot customers is spread by value."""
+    conf(spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__enabled="false")
+    warehouse = Warehouse(raw_tables(spark, "/root/testdata/sf0.001"), AS_OF, parquet_store(str(tmp_path)))
+    assert warehouse.keeps("fct_watch_event") and not warehouse.keeps("stg_watch_events")
+    physical = plan(features.watch_features(warehouse["fct_watch_event"], AS_OF, stored=True)).split("== Physical Plan ==")[1]
+    assert physical.count("SortMergeJoin") == 1
+    assert len(re.findall(r"hashpartitioning\(customer_key#\d+, \d+\), REPARTITION_BY_COL", physical)) == 1
+    assert "Expand" not in physical
