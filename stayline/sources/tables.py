@@ -37,9 +37,9 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     return spark.read.options(**CSV_OPTIONS, mode="FAILFAST").schema(schema).csv(path)
 
 
-def write_csv(df: DataFrame, path: str, single_header_file: bool = False) -> None:
+def write_csv(df: DataFrame, path: str, single_header_file: bool = False, compression: str = "none") -> None:
     """Written in parallel, one file per task; a small report may ask for one file."""
-    (df.coalesce(1) if single_header_file else df).write.mode("overwrite").options(**CSV_OPTIONS).csv(path)
+    (df.coalesce(1) if single_header_file else df).write.mode("overwrite").options(**CSV_OPTIONS, compression=compression).csv(path)
 
 
 def read_seeds(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
@@ -48,9 +48,10 @@ def read_seeds(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
 
 
 def write_seeds(tables: Mapping[str, DataFrame], folder: str) -> None:
+    """The six raw tables as CSV, compressed by task: as plain text they are most of what a run from seeds writes."""
     for name, schema in RAW_SCHEMAS.items():
         typed = [F.col(field.name).cast(field.dataType).alias(field.name) for field in schema]
-        write_csv(tables[name].select(*typed), f"{folder}/{name}.csv")
+        write_csv(tables[name].select(*typed), f"{folder}/{name}.csv", compression="gzip")
 
 
 def read_raw(spark: SparkSession, seed_folder: str, catalog_table: str) -> dict[str, DataFrame]:

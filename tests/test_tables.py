@@ -157,3 +157,11 @@ def test_parquet_store_reads_back_only_the_asked_columns(spark, tmp_path):
 def test_views_are_evaluated_on_use(spark):
     tables.publish_views({"stg_x": spark.createDataFrame([(1,)], "a int")}, ["stg_x"])
     assert spark.sql("select a + 1 b from stg_x").first().b == 2
+
+
+def test_seeds_are_written_compressed(spark, tmp_path):
+    raw = raw_tables(spark, "/root/testdata/sf0.001")
+    tables.write_seeds(raw, str(tmp_path))
+    assert {p.suffix for p in tmp_path.glob("raw_*.csv/part-*")} == {".gz"}
+    back = tables.read_seeds(spark, str(tmp_path))
+    assert back["raw_watch_events"].count() == raw["raw_watch_events"].count() > 0
