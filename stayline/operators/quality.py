@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from stayline.functions import vocab
 from stayline.functions.columns import count_where, instant
+from stayline.functions.keys import packed
 
 
 def _as_rows(one_row: DataFrame, entries: Sequence[tuple[str, str, str, str]]) -> DataFrame:
@@ -113,7 +114,7 @@ def key_checks(tables: Mapping[str, DataFrame], keys: Mapping[str, Sequence[tupl
     """
     names = ("test", "table_name", "column_name")
     declared = sorted({tuple(check) for entries in keys.values() for *check, _, _ in entries})
-    # A value travels with the number of its check instead of three names.
+    # A value travels with the number of its check instead of three names, and a digest in its bytes.
     number = {check: i for i, check in enumerate(declared)}
     rows = union_all(
         tables[name]
@@ -124,7 +125,7 @@ def key_checks(tables: Mapping[str, DataFrame], keys: Mapping[str, Sequence[tupl
                         F.struct(
                             F.lit(number[tuple(check)]).alias("check"),
                             F.lit(role == "parent").alias("is_parent"),
-                            F.col(column).cast("string").alias("value"),
+                            packed(F.col(column).cast("string")).alias("value"),
                         )
                         for *check, role, column in entries
                     ]

@@ -108,3 +108,15 @@ def test_values_travel_with_the_number_of_their_check(spark):
     assert "hashpartitioning(test" not in plan(report)
     found = {(r["test"], r["table_name"]): (r["n_failed"], r["status"]) for r in report.collect()}
     assert found == {("unique", "t"): (1, "fail"), ("unique", "p"): (0, "pass"), ("relationships", "t"): (2, "fail")}
+
+
+def test_digests_travel_in_their_bytes(spark):
+    """A key that only looks like another one in its bytes stays apart."""
+    from helpers import plan
+
+    digest = "0123456789abcdef" * 2
+    rows = [(digest,), (digest,), (digest.upper(),), ("k",), (None,)]
+    tables = {"t": spark.createDataFrame(rows, "k string"), "p": spark.createDataFrame([(digest,)], "k string")}
+    report = quality.run_checks(tables, {"t": {"unique": ["k"], "relationships": {"k": ("p", "k")}}, "p": {}}, ["unique", "relationships"])
+    assert mapping(report, "test", "n_failed") == {"unique": 1, "relationships": 2}
+    assert "unhex" in plan(report)
