@@ -257,3 +257,19 @@ def test_a_stored_fact_joins_titles_only_where_many_are_unusual(spark, tmp_path,
         stored[name] = tuples(warehouse.Warehouse(raw_tables(spark, "/root/testdata/sf0.001"), AS_OF, store)["fct_watch_event"])
     assert stored["list"] == stored["join"]
     assert given[0] is not None and given[1] is None
+
+
+def test_the_list_of_unusual_customers_gives_the_rows_of_the_join(spark, conf):
+    """Customers that are missing, there twice, under a key of their own or under none; viewings without a customer."""
+    conf(spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__enabled="false")
+    people = customers(spark, "c1", "c2", "c2").unionByName(
+        spark.createDataFrame([("c3", "own"), ("c4", None), (None, "k")], "customer_id string, customer_key string")
+    )
+    titles = spark.createDataFrame([("t1",)], "content_id string").withColumn("content_key", surrogate_key("content_id"))
+    events = spark.createDataFrame([watch(i, customer=c) for i, c in enumerate(["c1", "c1", "c2", "c3", "c4", "c9", None])], WATCH)
+    listed = facts.unusual_customers(events, people)
+    assert Counter(r.customer_id for r in listed.collect()) == {"c2": 2, "c3": 1, "c4": 1, "c9": 1}
+    joined = facts.fct_watch_event(events, people, titles)
+    found = facts.fct_watch_event(events, people, titles, unusual=facts.unusual_titles(events, titles), unusual_customers=listed)
+    assert len(tuples(joined)) == 6 and tuples(found) == tuples(joined)
+    assert plan(found).split("== Physical Plan ==")[1].count("BroadcastHashJoin") == 2

@@ -250,3 +250,32 @@ def test_a_stored_fact_is_shuffled_once_for_the_distinct_counts(spark, conf, tmp
     assert physical.count("SortMergeJoin") == 1
     assert len(re.findall(r"hashpartitioning\(customer_key#\d+, \d+\), REPARTITION_BY_COL", physical)) == 1
     assert "Expand" not in physical
+
+
+def test_a_stored_fact_gives_the_features_of_a_lazy_one(spark):
+    """Taken together where a customer's viewings meet, and apart for customers of very many viewings."""
+    fact = spark.range(3_000).selectExpr(
+        "if(id % 3 = 0, 'hot', md5(cast(id % 50 as string))) customer_key",
+        "date_add(date'2024-01-01', cast(id * 7919 % 180 as int)) date_day",
+        "if(id % 89 = 0, null, md5(cast(id % 410 as string))) content_key",
+        "concat('s', id div 2) session_id",
+        "if(id % 5 = 0, null, concat('d', id % 7)) device_type",
+        "case id % 3 when 1 then 'completed' when 2 then 'abandoned' end engagement_level",
+        "cast(id % 200 as int) watch_duration_minutes",
+        "cast(id % 101 as decimal(5,2)) completion_percentage",
+        "id % 4 = 0 is_resumed",
+        "if(id % 2 = 0, 'binge', 'short') session_duration_bucket",
+    )
+    want = features.watch_features(fact, AS_OF)
+    for longest in (features.LONG_HISTORY, 500, 0):
+        got = features.watch_features(fact, AS_OF, stored=True, longest=longest)
+        assert got.dtypes == want.dtypes
+        assert tuples(got) == tuples(want)
+
+
+def test_raw_viewings_are_joined_once_for_a_fact_that_is_kept(spark, tmp_path):
+    raw = raw_tables(spark, "/root/testdata/sf0.001")
+    kept = Warehouse(raw, AS_OF, parquet_store(str(tmp_path)))
+    assert "l_orderkey" not in plan(kept["stg_watch_events"])
+    assert tuples(kept["stg_watch_events"]) == tuples(Warehouse(raw, AS_OF)["stg_watch_events"])
+    assert "l_orderkey" in plan(Warehouse(raw, AS_OF)["stg_watch_events"])
